@@ -8,6 +8,7 @@ like stand for the given tables.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +19,7 @@ CUSTOMERS = [
     "INPESCA S.A", "ALBACORA SA", "CFTO S.A.", "SAPMER", "PRINCESS TUNA",
 ]
 
-# Base price of each service; it rises by 0.50 on each of the list's later dates.
+# Base price of each service.
 BASE_PRICES = {
     "CCCS Movement in/out": "3.500",
     "Loading (Quay to Ship)": "12.250",
@@ -114,39 +115,57 @@ def container(key: str) -> str:
     )
 
 
+# What each later date of a price list adds to the base price.
+PRICE_RISES = {"2024-01-01": "0.000", "2025-11-10": "0.500", "2026-02-01": "1.000"}
+
+
+def dated_prices(base: dict[str, str], rises: dict[str, str]) -> str:
+    """A price list as VALUES: every base price on every date, with that date's rise."""
+    rows = ", ".join(
+        f"('{service}', {Decimal(price) + Decimal(rise)}, DATE '{since}')"
+        for service, price in base.items()
+        for since, rise in rises.items()
+    )
+    return f"""
+        SELECT service, CAST(price AS DECIMAL(12,3)) AS price, date
+        FROM (VALUES {rows}) AS p(service, price, date)"""
+
+
 def _prices() -> str:
-    base = ", ".join(f"('{s}', {p})" for s, p in BASE_PRICES.items())
-    late = ", ".join(f"('{s}', {p})" for s, p in LATE_PRICES.items())
     return f"""
-        SELECT service, CAST(base + raise AS DECIMAL(12,3)) AS price, date,
-               CAST(NULL AS DATE) AS end_date,
+        SELECT service, price, date, CAST(NULL AS DATE) AS end_date,
                CASE WHEN service LIKE '% - %' THEN 'Net List' ELSE 'Other' END AS class
-        FROM (SELECT * FROM (VALUES {base}) AS b(service, base)) b
-        CROSS JOIN (SELECT * FROM (VALUES (DATE '2024-01-01', 0.00), (DATE '2025-11-10', 0.50),
-                                          (DATE '2026-02-01', 1.00)) AS d(date, raise)) d
-        UNION ALL
-        SELECT service, CAST(base AS DECIMAL(12,3)), DATE '2025-09-15', CAST(NULL AS DATE), 'Other'
-        FROM (VALUES {late}) AS l(service, base)
+        FROM ({dated_prices(BASE_PRICES, PRICE_RISES)}
+              UNION ALL {dated_prices(LATE_PRICES, {"2025-09-15": "0.000"})}) q
     """
 
 
-LINE_DAY, ORDER_DAY = day("l_shipdate"), day("o_orderdate")
-LINE_VESSEL = "'Vessel ' || CAST(l_suppkey % 12 AS STRING)"
-ORDER_VESSEL = "'VESSEL ' || CAST(o_orderkey % 12 AS STRING)"
-LINE_CUSTOMER = pick("l_suppkey * 7 + l_partkey", CUSTOMERS)
-ORDER_CUSTOMER = pick("o_custkey + o_orderkey", CUSTOMERS)
+# The given tables with the values that several derived columns are made of.
+LINES = f"""(
+    SELECT *, {day("l_shipdate")} AS line_day, {clock("l_orderkey * 37 + l_partkey * 11 + l_linenumber")} AS line_clock,
+           {container("l_partkey")} AS line_box, 'Vessel ' || CAST(l_suppkey % 12 AS STRING) AS line_vessel,
+           {pick("l_suppkey * 7 + l_partkey", CUSTOMERS)} AS line_customer,
+           (l_orderkey + l_partkey) % 10 AS line_kind, CAST(l_quantity * 137 AS BIGINT) AS line_kilos
+    FROM {{lineitem}}) l"""
+ORDERS = f"""(
+    SELECT *, {day("o_orderdate")} AS order_day, {clock("o_orderkey * 7 + o_custkey")} AS order_clock,
+           {container("o_custkey")} AS order_box,
+           'VESSEL ' || CAST(o_orderkey % 12 AS STRING) AS order_vessel,
+           {pick("o_custkey + o_orderkey", CUSTOMERS)} AS order_customer
+    FROM {{orders}}) o"""
+LINE_DAY, ORDER_DAY = "line_day", "order_day"
+LINE_VESSEL, ORDER_VESSEL = "line_vessel", "order_vessel"
+LINE_CUSTOMER, ORDER_CUSTOMER = "line_customer", "order_customer"
+LINE_CLOCK, ORDER_CLOCK = "line_clock", "order_clock"
+LINE_BOX, ORDER_BOX = "line_box", "order_box"
+KIND, KILOS = "line_kind", "line_kilos"
 STORAGE = "CASE WHEN l_returnflag = 'A' THEN 'Brine' ELSE 'Dry' END"
-KIND = "(l_orderkey + l_partkey) % 10"
 SHORT = ["DARDANEL", "IOT", "AMIRANTE", "OCEAN BASKET", "ISLAND CATCH", "INPESCA", "ALBACORA",
          "CFTO", "SAPMER", "PRINCESS TUNA"]
 DESTINATION = f"""CASE {KIND}
     WHEN 4 THEN 'IOT' WHEN 5 THEN 'DARDANEL FACTORY' WHEN 6 THEN 'Asian Marine Reefer'
-    WHEN 7 THEN 'Vessel 8' WHEN 8 THEN {container("l_partkey")} WHEN 9 THEN {container("l_partkey")}
+    WHEN 7 THEN 'Vessel 8' WHEN 8 THEN {LINE_BOX} WHEN 9 THEN {LINE_BOX}
     ELSE 'CCCS (' || {pick("l_suppkey * 7 + l_partkey", SHORT)} || ')' END"""
-LINE_CLOCK = clock("l_orderkey * 37 + l_partkey * 11 + l_linenumber")
-ORDER_CLOCK = clock("o_orderkey * 7 + o_custkey")
-KILOS = "CAST(l_quantity * 137 AS BIGINT)"
-DAY_LABEL = "CASE WHEN dayofweek({0}) = {1} THEN 'Sun' ELSE 'Mon' END"
 LABEL = pick("l_orderkey + l_linenumber", ["normal hours", "overtime 150%", "overtime 200%", "pending"])
 COLD_SERVICE = pick(
     "l_orderkey + l_partkey",
@@ -181,14 +200,14 @@ TABLES = {
                     ELSE CAST({KILOS} AS STRING) END AS scale_reading,
                {STORAGE} AS storage, {DESTINATION} AS destination, {LABEL} AS overtime,
                {pick("l_linenumber + l_orderkey", ["Port", "Starboard", "Aft"])} AS side_working
-        FROM {{lineitem}}
+        FROM {LINES}
     """,
     "unloading_summary": f"""
         SELECT {LINE_DAY} AS date, {LINE_VESSEL} AS vessel, {LINE_CLOCK} AS start_time,
                {END_CLOCK.format(LINE_CLOCK, "l_partkey")} AS end_time,
                {DESTINATION} AS destination, {LABEL} AS overtime, {STORAGE} AS storage_type,
                {tonnes("l_quantity * 0.137")} AS total_tonnage
-        FROM {{lineitem}}
+        FROM {LINES}
     """,
     "cold_store": f"""
         SELECT {pick("l_orderkey + l_suppkey", WEEK)} AS day, {LINE_DAY} AS date,
@@ -205,11 +224,11 @@ TABLES = {
                    AS static_loader,
                CASE WHEN l_linenumber % 3 = 0 THEN '' WHEN l_linenumber = 7 THEN 'n/a'
                     ELSE {tonnes_text("l_quantity * 0.025")} || ' ' END AS overtime_tonnage
-        FROM {{lineitem}}
+        FROM {LINES}
     """,
     "cross_stuffing": f"""
         SELECT {pick("l_orderkey + l_partkey", WEEK)} AS day, {LINE_CUSTOMER} AS vessel_client,
-               {LINE_DAY} AS date, {container("l_partkey")} AS origin,
+               {LINE_DAY} AS date, {LINE_BOX} AS origin,
                {container("l_suppkey")} AS destination, {LINE_CLOCK} AS start_time,
                {END_CLOCK.format(LINE_CLOCK, "l_partkey")} AS end_time,
                {tonnes_text("l_quantity * 0.111")} AS total_tonnage,
@@ -219,7 +238,7 @@ TABLES = {
                {pick("l_linenumber", ["Cross Stuffing", "Unstuffing by Hand", "Unstuffing to Cargo",
                                       "Unstuffing to CCCS"])} AS service,
                {LINE_CUSTOMER} AS invoiced
-        FROM {{lineitem}}
+        FROM {LINES}
     """,
     "by_catch_transfer": f"""
         SELECT {ORDER_DAY} AS date,
@@ -232,10 +251,10 @@ TABLES = {
                {tonnes_text("(o_custkey % 40 + 1) * 0.129")} AS total_tonnage,
                CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE {tonnes_text("(o_custkey % 40 + 1) * 0.025")}
                     END AS overtime_tonnage
-        FROM {{orders}}
+        FROM {ORDERS}
     """,
     "cccs_stuffing": f"""
-        SELECT {LINE_DAY} AS date, {container("l_partkey")} AS container_number,
+        SELECT {LINE_DAY} AS date, {LINE_BOX} AS container_number,
                {LINE_CUSTOMER} AS customer,
                {pick("l_linenumber + l_orderkey", ["Shore Crane & Fishloader",
                      "Shore Crane & Fishloader (by catch)", "Static Loader",
@@ -244,14 +263,14 @@ TABLES = {
                CASE WHEN l_linenumber = 4 THEN ' ' ELSE {tonnes_text("l_quantity * 0.051")} END
                    AS overtime_tonnage,
                {LINE_CUSTOMER} AS invoiced
-        FROM {{lineitem}}
+        FROM {LINES}
     """,
     "container_ops": f"""
         SELECT CASE WHEN l_orderkey % 10 = 3 THEN 'Ocean Basket' ELSE {LINE_VESSEL} END
                    AS vessel_client,
                {pick("l_partkey + l_orderkey", ["IOT", "MAERSKLINE", "CMA CGM", "AMIRANTE"])} AS customer,
                {LINE_DAY} + CAST(l_linenumber % 3 AS INT) AS date_plugged, {LINE_CLOCK} AS time_plugged,
-               {container("l_partkey")} AS container_number,
+               {LINE_BOX} AS container_number,
                {pick("l_orderkey", ["Full OSS", "Container Stuffing", "Basic OSS", "Basic OSS",
                                     "CCCS Stuffing", "Direct Transfer", "Exchange of Hands",
                                     "Stuffing"])} AS operation_type,
@@ -264,20 +283,20 @@ TABLES = {
                     ELSE {LINE_DAY} + CAST(l_linenumber % 3 + l_partkey % 20 AS INT) END AS date_out,
                {pick("l_orderkey * 3 + l_partkey", ["LML", "For Completion", "On Plug", "Plugin Only",
                      "IOT", "Fishing Port", "Exchange of Hands"])} AS location
-        FROM {{lineitem}}
+        FROM {LINES}
     """,
     "liner_pallet": f"""
-        SELECT {ORDER_DAY} AS date, {container("o_custkey")} AS container_number,
+        SELECT {ORDER_DAY} AS date, {ORDER_BOX} AS container_number,
                {pick("o_orderkey", ["IOT", "MAERSK", "CMA CGM", "SAPMER"])} AS shipping_line,
                lower({ORDER_CUSTOMER}) AS assigned_to,
                {pick("o_custkey", ["Pallet", "Liner & Pallet", "Liner"])} AS remarks
-        FROM {{orders}}
+        FROM {ORDERS}
     """,
     "container_shifting": f"""
-        SELECT {ORDER_DAY} AS date, {container("o_custkey")} AS container_number,
+        SELECT {ORDER_DAY} AS date, {ORDER_BOX} AS container_number,
                {pick("o_orderkey", ["IOT", "MAERSKLINE", "INVALID", "CMA CGM"])} AS invoice_to,
                o_orderpriority AS service_remarks
-        FROM {{orders}}
+        FROM {ORDERS}
     """,
     "pti": f"""
         SELECT ts AS datetime_start,
@@ -291,11 +310,11 @@ TABLES = {
         FROM {{events}}
     """,
     "washing": f"""
-        SELECT {ORDER_DAY} AS date, {container("o_custkey")} AS container_number,
+        SELECT {ORDER_DAY} AS date, {ORDER_BOX} AS container_number,
                {pick("o_orderkey + o_custkey", ["CMA CGM", "IOT", "INVALID", "IPHS", "SAPMER"])}
                    AS invoice_to,
                o_orderpriority AS service_remarks
-        FROM {{orders}}
+        FROM {ORDERS}
     """,
     "shore_crane": f"""
         SELECT {pick("o_orderkey", WEEK)} AS day, {ORDER_DAY} AS date, {ORDER_CLOCK} AS start_time,
@@ -305,10 +324,10 @@ TABLES = {
                {ORDER_CUSTOMER} AS customer, 'Quay ' || CAST(o_orderkey % 4 AS STRING) AS location,
                o_orderpriority AS operation_type, o_orderstatus AS remarks,
                {ORDER_CUSTOMER} AS invoiced_to
-        FROM {{orders}}
+        FROM {ORDERS}
     """,
     "transfer": f"""
-        SELECT {LINE_DAY} AS date, {container("l_partkey")} AS container_number,
+        SELECT {LINE_DAY} AS date, {LINE_BOX} AS container_number,
                CASE WHEN l_partkey % 3 = 0 THEN 'IOT' WHEN l_partkey % 3 = 1 THEN 'MAERSK'
                     ELSE 'CMA CGM' END AS line,
                {pick("l_linenumber", ["Collection", "Shifting", "Delivery"])} AS movement_type,
@@ -325,7 +344,7 @@ TABLES = {
                {pick("l_suppkey + l_linenumber", ["40''", "20''", "45''"]).replace("''''", "''")} AS size,
                {pick("l_orderkey + l_linenumber", ["IOT", "CCCS", "", "Other"])} AS remarks,
                {LINE_CUSTOMER} AS invoice_to
-        FROM {{lineitem}}
+        FROM {LINES}
     """,
     "scow_transfer": f"""
         SELECT {ORDER_DAY} AS date,
@@ -337,7 +356,7 @@ TABLES = {
                {clock("o_orderkey * 3 + o_custkey * 5")} AS time_in,
                CASE WHEN o_orderstatus = 'F' THEN 'Empty' ELSE 'Full' END AS status,
                o_orderpriority AS remarks, CAST(o_custkey % 9 AS INT) AS num_of_scows
-        FROM {{orders}}
+        FROM {ORDERS}
     """,
     "forklift": f"""
         SELECT {pick("l_orderkey", WEEK)} AS day, {LINE_DAY} AS date, {LINE_CLOCK} AS start_time,
@@ -347,7 +366,7 @@ TABLES = {
                {pick("l_suppkey", ["STO", "Vessel"])} AS invoiced_in,
                {pick("l_linenumber + l_suppkey", ["Net Repair", "Salt Loading", "Provision",
                                                   "Gangway", "Spare Parts"])} AS service_type
-        FROM {{lineitem}}
+        FROM {LINES}
     """,
     "salt": f"""
         SELECT {ORDER_DAY} AS date, {ORDER_VESSEL} AS vessel, ' ' || {ORDER_CUSTOMER} AS customer,
@@ -358,7 +377,7 @@ TABLES = {
                CAST(o_custkey % 28 + 1 AS INT) * 900 AS duration,
                {pick("o_orderkey", ["Loading (Quay to Ship)", "Loading @ Zone 14"])} AS operation_type,
                {tonnes("(o_custkey % 97 + 1) * 0.731")} AS tonnage
-        FROM {{orders}}
+        FROM {ORDERS}
     """,
     "bin_tipping": f"""
         SELECT {ORDER_DAY} AS date, {ORDER_CUSTOMER} AS customer,
@@ -366,7 +385,7 @@ TABLES = {
                CAST(o_custkey % 14 AS INT) AS scows_tipped,
                {tonnes("(o_custkey % 14) * 1.213")} AS tonnage_tipped,
                {tonnes("(o_custkey % 14) * 0.317")} AS overtime
-        FROM {{orders}}
+        FROM {ORDERS}
     """,
     "berth": f"""
         SELECT {ORDER_VESSEL} AS vessel,
@@ -380,7 +399,7 @@ TABLES = {
                {clock("o_orderkey * 11 + o_custkey * 3")} AS time_out,
                CASE WHEN o_orderkey % 3 = 0 THEN CAST(NULL AS DECIMAL(12,3))
                     ELSE CAST(o_custkey % 3 * -100 AS DECIMAL(12,3)) END AS discount
-        FROM {{orders}}
+        FROM {ORDERS}
     """,
     "report_status": f"""
         SELECT {ORDER_CUSTOMER} AS vessel_client,
@@ -391,7 +410,7 @@ TABLES = {
                       || '/' || lpad(CAST(month({ORDER_DAY} + CAST(o_custkey % 30 AS INT)) AS STRING), 2, '0')
                       || '/' || CAST(year({ORDER_DAY} + CAST(o_custkey % 30 AS INT)) AS STRING)
                     END AS end_date
-        FROM {{orders}}
+        FROM {ORDERS}
     """,
     "invoice_status": f"""
         SELECT CAST(month({ORDER_DAY}) AS STRING) AS month,
@@ -399,20 +418,20 @@ TABLES = {
                {ORDER_CUSTOMER} AS customer, {ORDER_DAY} AS starting_date,
                {ORDER_DAY} + CAST(o_custkey % 9 AS INT) AS ending_date,
                CASE WHEN o_orderstatus = 'F' THEN 'oss' ELSE 'sto' END AS report_type
-        FROM {{orders}}
+        FROM {ORDERS}
     """,
     "gate_in": f"""
         SELECT {LINE_DAY} AS date, l_returnflag AS type,
                {pick("l_suppkey", ["Carrier", "Daikin", "Thermo King"])} AS unit_manufacturer,
-               {container("l_partkey")} AS container_number
-        FROM {{lineitem}}
+               {LINE_BOX} AS container_number
+        FROM {LINES}
     """,
     "pti_log": f"""
-        SELECT {ORDER_DAY} AS date_plugin, {container("o_custkey")} AS container_number,
+        SELECT {ORDER_DAY} AS date_plugin, {ORDER_BOX} AS container_number,
                {pick("o_orderkey", ["-25", "-35", "-60"])} AS set_point,
                {pick("o_custkey", ["Carrier", "Daikin", "Thermo King"])} AS unit_manufacturer,
                {pick("o_orderkey", ["CMA CGM", "MAERSKLINE", "IOT"])} AS shipping_line
-        FROM {{orders}}
+        FROM {ORDERS}
     """,
     "activity": f"""
         SELECT {ORDER_DAY} AS date, {ORDER_VESSEL} AS vessel,
@@ -421,18 +440,18 @@ TABLES = {
                CASE WHEN o_orderkey % 4 = 0 THEN {tonnes("(o_custkey % 17) * 0.250")} END AS well_to_well,
                {pick("o_orderkey", ["OPEX/ OT 18:00 / two extra men", "OPEX/ rain", "no remark",
                                     "a/ OT only"])} AS remarks
-        FROM {{orders}}
+        FROM {ORDERS}
     """,
     "additional_overtime": f"""
         SELECT {ORDER_DAY} AS date, lower({ORDER_VESSEL}) AS vessel,
                {tonnes("(o_custkey % 50) * 0.333")} AS overtime_tonnage, {ORDER_CLOCK} AS start_time,
                {END_CLOCK.format(ORDER_CLOCK, "o_custkey")} AS end_time,
                CAST(o_orderkey % 30 AS INT) AS number_of_stevedores
-        FROM {{orders}}
+        FROM {ORDERS}
     """,
     "stuffing_lines": f"""
         SELECT {pick("l_orderkey + l_partkey", WEEK)} AS day, {LINE_DAY} AS date,
-               {container("l_partkey")} AS container_number,
+               {LINE_BOX} AS container_number,
                {pick("l_linenumber + l_orderkey", ["Shore Crane & Fishloader", "Static Loader",
                      "Container Stuffing by Hand"])} AS service,
                {LINE_CUSTOMER} AS customer,
@@ -441,26 +460,26 @@ TABLES = {
                CASE WHEN l_linenumber = 4 THEN CAST(NULL AS DECIMAL(18,3))
                     WHEN l_linenumber = 5 THEN {tonnes("l_quantity * 0.207")}
                     ELSE {tonnes("l_quantity * 0.051")} END AS overtime_tonnage
-        FROM {{lineitem}}
+        FROM {LINES}
     """,
     "forklift_usage": f"""
         SELECT {ORDER_DAY} AS date_of_service, lower(replace(o_orderpriority, '-', ' ')) AS driver,
                'F' || CAST(o_custkey % 9 AS STRING) AS forklift_number, {ORDER_CLOCK} AS time_out,
                {END_CLOCK.format(ORDER_CLOCK, "o_custkey")} AS time_in,
                {ORDER_CUSTOMER} AS vessel_client, o_orderstatus AS purpose
-        FROM {{orders}}
+        FROM {ORDERS}
     """,
     "container_codes": f"""
         SELECT CASE l_linenumber
-                    WHEN 2 THEN ' ' || {container("l_partkey")}
-                    WHEN 3 THEN lower({container("l_partkey")})
-                    WHEN 4 THEN substring({container("l_partkey")}, 1, 10)
-                    WHEN 5 THEN substring({container("l_partkey")}, 1, 10)
+                    WHEN 2 THEN ' ' || {LINE_BOX}
+                    WHEN 3 THEN lower({LINE_BOX})
+                    WHEN 4 THEN substring({LINE_BOX}, 1, 10)
+                    WHEN 5 THEN substring({LINE_BOX}, 1, 10)
                                 || CAST((l_partkey + l_suppkey) % 10 AS STRING)
                     WHEN 6 THEN {pick("l_suppkey", ["HLXU", "ZIMU", "KLVW", "OOLU"])}
-                                || substring({container("l_partkey")}, 5, 7)
-                    ELSE {container("l_partkey")} END AS container_number
-        FROM {{lineitem}}
+                                || substring({LINE_BOX}, 5, 7)
+                    ELSE {LINE_BOX} END AS container_number
+        FROM {LINES}
     """,
 }
 

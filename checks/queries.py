@@ -22,16 +22,13 @@ from quayledger.operators.views import daily_sums, latest_date, member, view
 from quayledger.plans import berth, cold_store, operations, registry, scows, stuffing, unloading
 from quayledger.plans import pricing, transport
 
-from .derived import DerivedInputs
+from .derived import DerivedInputs, dated_prices
 
 DAY = 86_400
-EVENT_PRICES = """
-    SELECT service, CAST(base + raise AS DECIMAL(12,3)) AS price, date
-    FROM (VALUES ('signup', 10.250), ('view', 0.125), ('click', 0.500), ('purchase', 2.750))
-         AS b(service, base)
-    CROSS JOIN (VALUES (DATE '2024-01-05', 0.000), (DATE '2024-01-14', 0.125),
-                       (DATE '2024-01-21', 0.250)) AS d(date, raise)
-"""
+EVENT_PRICES = dated_prices(
+    {"signup": "10.250", "view": "0.125", "click": "0.500", "purchase": "2.750"},
+    {"2024-01-05": "0.000", "2024-01-14": "0.125", "2024-01-21": "0.250"},
+)
 Query = Callable[[DerivedInputs], DataFrame]
 
 

@@ -13,6 +13,8 @@ FIRST_YEAR, LAST_YEAR = 1990, 2099
 # A holiday calendar has under 25 days a year, so this many years is safe to broadcast.
 MAX_BROADCAST_YEARS = 500
 
+# Day labels from Sunday on.
+WEEKDAYS = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
 # Month and day of the holidays on a fixed date.
 FIXED_HOLIDAYS = [
     (1, 1), (1, 2), (5, 1), (6, 18), (6, 29), (8, 15), (11, 1), (12, 8), (12, 25),
@@ -70,7 +72,10 @@ def with_day_name(
     holidays = public_holidays(df.sparkSession, first_year, last_year).select(
         F.col("date").alias("_holiday")
     )
-    label = F.when(F.col("_holiday").isNotNull(), "PH").otherwise(F.date_format(date_col, "E"))
+    weekdays = F.array(*[F.lit(d) for d in WEEKDAYS])
+    label = F.when(F.col("_holiday").isNotNull(), "PH").otherwise(
+        F.get(weekdays, F.dayofweek(date_col) - 1)
+    )
     return (
         df.join(F.broadcast(holidays), F.col(date_col) == F.col("_holiday"), "left")
         .withColumn(name, label)

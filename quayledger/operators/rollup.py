@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .asof import DEFAULT_BUCKET_SECONDS, asof_join
-from .ordered import previous_row
+from .asof import asof_join
 
 # Days per bucket of the range join.
 PERIOD_BUCKET_DAYS = 16
@@ -81,46 +80,33 @@ def history_before(
     log_by: str,
     log_on: str,
     details: Sequence[str],
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
 ) -> DataFrame:
-    """Per row: how many log rows of the same key lie at or before it, with the first and latest one.
+    """Per row: how many log rows of the same key are dated up to it, with the first and latest one.
 
-    Log rows are numbered per key in date order, and a row is matched to the
-    latest of them only, so the result has one row per input row however long
-    the history is. Log rows with number 1 to ``earlier`` are the whole history.
+    The log is first counted per key and day, so a key has at most one row per
+    day to number, and the result has one row per input row however long the
+    history is. Of several log rows on the latest day the largest details show.
     """
-    numbered = previous_row(
-        log,
-        log_by,
-        [log_on, *details],
-        [log_on],
-        count_name="earlier",
-        bucket_seconds=bucket_seconds,
-    ).select(
-        F.col(log_by).alias("_log_by"),
-        F.col(log_on).alias("_log_on"),
-        "earlier",
-        F.col(log_on).alias("latest"),
-        *[F.col(d).alias(f"latest_{d}") for d in details],
+    so_far = Window.partitionBy("_log_by").orderBy("latest").rowsBetween(
+        Window.unboundedPreceding, 0
     )
-    names = ["earlier", "latest", *[f"latest_{d}" for d in details]]
-    matched = asof_join(
-        df,
-        numbered,
-        on,
-        [by],
-        names,
-        right_on="_log_on",
-        right_by=["_log_by"],
-        bucket_seconds=bucket_seconds,
-    )
-    first = log.groupBy(F.col(log_by).alias("_log_by")).agg(F.min(log_on).alias("_first"))
-    return (
-        matched.join(first, F.col(by) == F.col("_log_by"), "left")
-        .withColumn("first", F.when(F.col("earlier").isNotNull(), F.col("_first")))
-        .withColumn("earlier", F.coalesce("earlier", F.lit(0)))
-        .drop("_log_by", "_first")
+    names = ["earlier", "first", "latest", *[f"latest_{d}" for d in details]]
+    history = (
+        log.groupBy(F.col(log_by).alias("_log_by"), F.col(log_on).alias("latest"))
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.max(F.struct(*[F.col(d).alias(f"latest_{d}") for d in details])).alias("_details"),
+        )
+        .select(
+            "_log_by",
+            "latest",
+            F.sum("_rows").over(so_far).alias("earlier"),
+            F.min("latest").over(so_far).alias("first"),
+            "_details.*",
+        )
     )
+    matched = asof_join(df, history, on, [by], names, right_on="latest", right_by=["_log_by"])
+    return matched.withColumn("earlier", F.coalesce("earlier", F.lit(0)))
 
 
 def earlier_rows(

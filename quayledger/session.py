@@ -10,6 +10,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Methods above 8000 bytes of code are never compiled by the JVM, so a stage that
+    # would generate one runs faster without whole-stage code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     # Call-site capture doubles the time to build a plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
