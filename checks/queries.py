@@ -36,6 +36,12 @@ def _clock(column: str):
     return (F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)).cast("int")
 
 
+def _half_up(column: str, scale: int):
+    """A double rounded half up in double arithmetic, as both engines do it alike."""
+    unit = F.lit(10.0**scale)
+    return (F.floor(F.col(column) * unit + 0.5) / unit).alias(column)
+
+
 def holiday_orders(t: DerivedInputs) -> DataFrame:
     orders = t.given("orders").select(F.col("o_orderdate").cast("date").alias("date"), "o_orderkey")
     holidays = public_holidays(orders.sparkSession, 1995, 2001)
@@ -137,9 +143,9 @@ def order_shares(t: DerivedInputs) -> DataFrame:
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_totalprice").cast("decimal(18,2)").alias("total")
     )
     counted = with_group_totals(lines, ["l_orderkey"], {"lines_total": F.col("price")})
-    part = F.floor(share(F.col("price"), F.col("lines_total"), F.col("total")) * 100 + 0.5) / 100
-    return counted.join(orders, "l_orderkey").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "price", part.alias("share")
+    part = share(F.col("price"), F.col("lines_total"), F.col("total"))
+    return counted.join(orders, "l_orderkey").withColumn("share", part).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "price", _half_up("share", 2)
     )
 
 
@@ -329,8 +335,8 @@ DERIVED_QUERIES: dict[str, Query] = {
         "time_in",
         "overtime",
         "num_of_scows",
-        F.round("allocated_overtime_tonnage", 6).alias("allocated_overtime_tonnage"),
-        F.round("allocated_normal_tonnage", 6).alias("allocated_normal_tonnage"),
+        _half_up("allocated_overtime_tonnage", 6),
+        _half_up("allocated_normal_tonnage", 6),
     ),
     "flat_rate_dispatch": lambda t: cold_store.flat_rate_dispatch(
         t["cold_store"], V.BIN_DISPATCH_SERVICES

@@ -73,7 +73,7 @@ def test_table_and_parquet_sinks(spark, tmp_path):
     sinks.save_parquet(df, f"{tmp_path}/p", ["n"])
     assert spark.read.parquet(f"{tmp_path}/p").count() == 5
     sinks.save_csv(df, f"{tmp_path}/c", delimiter=";")
-    assert spark.read.option("header", True).csv(f"{tmp_path}/c").columns == ["n", "m"]
+    assert spark.read.option("header", True).csv(f"{tmp_path}/c", sep=";").columns == ["n", "m"]
 
 
 def test_inline_table(spark):
