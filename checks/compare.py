@@ -18,7 +18,7 @@ def _cell(value: object) -> object:
     if value is None or (isinstance(value, float) and math.isnan(value)):
         return "-"
     if isinstance(value, float):
-        return repr(round(value, 9) + 0.0)
+        return repr(value + 0.0)
     return str(value)
 
 

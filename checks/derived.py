@@ -82,10 +82,15 @@ def pick(number: str, names: list[str]) -> str:
     return f"CASE ({number}) % {len(names)} {cases} END"
 
 
+def day_number(column: str) -> str:
+    """Days from 2025-06-01, 0 to 330, in the order of the source dates."""
+    number = f"(year({column}) - 1995) * 372 + (month({column}) - 1) * 31 + day({column}) - 1"
+    return f"CAST(floor(({number}) / 8) AS INT)"
+
+
 def day(column: str) -> str:
     """A date between 2025-06-01 and 2026-04-30 that keeps the order of the source dates."""
-    number = f"(year({column}) - 1995) * 372 + (month({column}) - 1) * 31 + day({column}) - 1"
-    return f"(DATE '2025-06-01' + CAST(floor(({number}) / 8) AS INT))"
+    return f"(DATE '2025-06-01' + {day_number(column)})"
 
 
 def clock(number: str) -> str:
@@ -142,7 +147,8 @@ def _prices() -> str:
 
 # The given tables with the values that several derived columns are made of.
 LINES = f"""(
-    SELECT *, {day("l_shipdate")} AS line_day, {clock("l_orderkey * 37 + l_partkey * 11 + l_linenumber")} AS line_clock,
+    SELECT *, {day("l_shipdate")} AS line_day, {day_number("l_shipdate")} AS line_day_number,
+           {clock("l_orderkey * 37 + l_partkey * 11 + l_linenumber")} AS line_clock,
            {container("l_partkey")} AS line_box, 'Vessel ' || CAST(l_suppkey % 12 AS STRING) AS line_vessel,
            {pick("l_suppkey * 7 + l_partkey", CUSTOMERS)} AS line_customer,
            (l_orderkey + l_partkey) % 10 AS line_kind, CAST(l_quantity * 137 AS BIGINT) AS line_kilos
@@ -210,7 +216,7 @@ TABLES = {
         FROM {LINES}
     """,
     "cold_store": f"""
-        SELECT {pick("l_orderkey + l_suppkey", WEEK)} AS day, {LINE_DAY} AS date,
+        SELECT {pick("line_day_number", WEEK)} AS day, {LINE_DAY} AS date,
                CASE WHEN l_linestatus = 'O' THEN 'OUT' ELSE 'IN' END AS movement_type,
                {LINE_CUSTOMER} AS customer,
                'hatch ' || CAST(l_linenumber AS STRING) AS origin, upper({LINE_VESSEL}) AS vessel,
