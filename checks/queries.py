@@ -21,6 +21,7 @@ from quayledger.operators.rollup import history_before
 from quayledger.operators.views import daily_sums, latest_date, member, view
 from quayledger.plans import berth, cold_store, operations, registry, scows, stuffing, unloading
 from quayledger.plans import pricing, transport
+from quayledger.sources.catalog import split_listed_rows
 
 from .derived import DerivedInputs, dated_prices
 
@@ -219,6 +220,16 @@ def scow_trip_rules(t: DerivedInputs) -> DataFrame:
     )
 
 
+def listed_labels(t: DerivedInputs) -> DataFrame:
+    kept, refused = split_listed_rows(t["unloading_summary"], "unloading_summary")
+    return (
+        kept.withColumn("errors", F.array().cast("array<string>"))
+        .unionByName(refused)
+        .groupBy(F.array_join("errors", ",").alias("errors"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum("total_tonnage").alias("tonnage"))
+    )
+
+
 def unlisted_containers(t: DerivedInputs) -> DataFrame:
     _, unlisted = quality.split_listed(
         t["washing"],
@@ -309,6 +320,7 @@ DERIVED_QUERIES: dict[str, Query] = {
     "container_checks": container_checks,
     "rejected_forklift": rejected_forklift,
     "scow_trip_rules": scow_trip_rules,
+    "listed_labels": listed_labels,
     "unlisted_containers": unlisted_containers,
     "named_movements": named_movements,
     "dirty_numbers": dirty_numbers,

@@ -114,6 +114,11 @@ def whole(amount: Column, unit: int) -> Column:
     return (amount / F.lit(unit)).cast("bigint")
 
 
+def moment(day: Column, seconds: Column) -> Column:
+    """Timestamp of a time of day on a date."""
+    return day.cast("timestamp_ntz") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
 def hhmm(seconds: Column) -> Column:
     """HH:MM text of a non-negative number of seconds."""
     hours = whole(seconds, 3600)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rates import as_double, factor
 from ..functions.text import remark_detail
-from ..functions.timeband import is_special
+from ..functions.timeband import is_special, moment
 from ..functions.values import PRICE, STANDARD_CREW
 from ..operators.calendar import with_day_name
 from ..operators.reconcile import difference_report
@@ -63,8 +63,7 @@ def additional_overtime(overtime_log: DataFrame, price: DataFrame) -> DataFrame:
     return with_price(overtime_log, price, "Additional Overtime").withColumn(
         "number_of_hours", hours
     ).select(
-        "date",
-        F.col("end_time").alias("time"),
+        moment(F.col("date"), F.col("end_time")).alias("date_and_time"),
         F.upper("vessel").alias("vessel"),
         "number_of_stevedores",
         "number_of_hours",

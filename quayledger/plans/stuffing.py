@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import values as V
 from ..functions.rates import as_double, money
+from ..functions.timeband import moment
 from ..operators.calendar import in_range
 from .pricing import with_prices
 
@@ -122,8 +123,7 @@ def plugin_statement(
     )
     return lines.withColumn("days", days).select(
         F.upper("vessel_client").alias("vessel"),
-        F.col("date_plugged").alias("date_plugged_in"),
-        F.col("time_plugged").alias("time_plugged_in"),
+        moment(F.col("date_plugged"), F.col("time_plugged")).alias("plugged_in"),
         "container_number",
         "shipping_line",
         F.col("plugged_status").alias("status"),

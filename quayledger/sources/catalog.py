@@ -9,6 +9,10 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import values as V
+from ..operators.quality import require_name, split_valid
 
 SCHEMAS = {
     "price": "service string, price decimal(12,3), date date, end_date date, class string",
@@ -140,6 +144,48 @@ HEADERS = {
 }
 
 
+# Columns whose values must be on a list.
+LISTED = {
+    "unloading_raw": {"storage": V.STORAGE_TYPES},
+    "unloading_summary": {"overtime": list(V.MULTIPLIERS), "storage_type": V.STORAGE_TYPES},
+    "cold_store": {"day": V.DAY_NAMES},
+    "cross_stuffing": {"day": V.DAY_NAMES},
+    "container_ops": {"plugged_status": V.PLUGGED_STATUSES},
+    "liner_pallet": {
+        "shipping_line": [*V.SHIPPING_LINES, "SAPMER"],
+        "remarks": V.PALLET_TYPES,
+    },
+    "pti": {
+        "set_point": V.SET_POINTS,
+        "status": V.PTI_STATUSES,
+        "invoice_to": V.PTI_INVOICE_TO,
+    },
+    "shore_crane": {"day": V.DAY_NAMES},
+    "transfer": {
+        "line": V.SHIPPING_LINES,
+        "movement_type": V.TRANSFER_MOVEMENTS,
+        "driver": V.TRANSFER_DRIVERS,
+        "origin": V.TRANSFER_LOCATIONS,
+        "destination": V.TRANSFER_LOCATIONS,
+        "status": V.STATUSES,
+    },
+    "scow_transfer": {"container_number": V.SCOW_CONTAINERS, "status": V.STATUSES},
+    "forklift": {"day": V.DAY_NAMES},
+    "bin_tipping": {"movement_type": V.MOVEMENT_TYPES},
+}
+
+
+def require_listed(df: DataFrame, name: str) -> DataFrame:
+    """The table itself; the query fails on a value that is not on its column's list."""
+    return df.withColumns({c: require_name(F.col(c), v) for c, v in LISTED.get(name, {}).items()})
+
+
+def split_listed_rows(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose listed columns are null or on their lists, and the others with the columns at fault."""
+    rules = {c: F.col(c).isNull() | F.col(c).isin(v) for c, v in LISTED.get(name, {}).items()}
+    return split_valid(df, rules)
+
+
 class Inputs(Mapping[str, DataFrame]):
     """Tables by name, read on first use from ``root/<name>`` with their fixed schema."""
 

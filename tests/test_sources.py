@@ -1,6 +1,15 @@
+import pytest
+
 from quayledger.plans import registry
 from quayledger.sources import sinks
-from quayledger.sources.catalog import SCHEMAS, Inputs, with_sheet_headers
+from quayledger.sources.catalog import (
+    LISTED,
+    SCHEMAS,
+    Inputs,
+    require_listed,
+    split_listed_rows,
+    with_sheet_headers,
+)
 from quayledger.sources.inline import inline_table
 
 from checks.derived import DerivedInputs
@@ -32,6 +41,24 @@ def test_files_give_the_same_result(spark, tmp_path):
     assert len(csv) == len(expected)
 
 
+def test_listed_columns(spark):
+    columns = "container_number string, status string"
+    df = spark.createDataFrame([("STDU6536343", "Full"), ("X", None), ("STDU6536338", "Half")], columns)
+    kept, refused = split_listed_rows(df, "scow_transfer")
+    assert kept.collect() == [("STDU6536343", "Full")]
+    assert sorted(r.errors for r in refused.collect()) == [["container_number"], ["status"]]
+    assert require_listed(df.limit(1), "scow_transfer").count() == 1
+    with pytest.raises(Exception, match="not a listed name: Half"):
+        require_listed(df.filter("status = 'Half'"), "scow_transfer").collect()
+    for name, columns in LISTED.items():
+        assert set(columns) <= {f.split()[0] for f in SCHEMAS[name].split(", ")}
+
+
+def test_derived_transfers_are_all_listed(spark):
+    kept, refused = split_listed_rows(DerivedInputs(spark, SF_DIR)["transfer"], "transfer")
+    assert refused.isEmpty() and kept.count() == 6000
+
+
 def test_sheet_headers_are_renamed(spark):
     df = spark.createDataFrame([("A", 1.0)], "`Service` string, `Price` double")
     assert with_sheet_headers(df, "price").columns == ["service", "price"]

@@ -1,5 +1,6 @@
 """Time bands at and around the cut-offs, against branches written out case by case."""
 
+from datetime import date, datetime
 from itertools import product
 
 import pytest
@@ -103,3 +104,9 @@ def test_hhmm(spark):
 def test_valid_span(spark):
     df = spark.createDataFrame([(10, 20), (80000, 28799), (80000, 28800)], "s int, e int")
     assert [r[0] for r in df.select(tb.valid_span(F.col("s"), F.col("e"))).collect()] == [True, True, False]
+
+
+def test_moment(spark):
+    df = spark.createDataFrame([(date(2025, 11, 3), 61201), (None, 5)], "d date, s int")
+    out = [r[0] for r in df.select(tb.moment(F.col("d"), F.col("s"))).collect()]
+    assert out == [datetime(2025, 11, 3, 17, 0, 1), None]
