@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayledger.llm import binary, packing
+from quayledger.llm import binary, packing, quality, simhash, toxicity, vectors
 from quayledger.llm.shared import Workspace
 
 
@@ -16,15 +16,35 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, Workspace(spark)).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose fingerprints are within three bits, over all documents."""
+    return simhash.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), Workspace(spark))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity by clauses."""
+    return toxicity.with_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality by the byte network."""
+    return quality.with_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids, written to token files and read back."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return binary.token_files(docs, Workspace(spark)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of vectors with a cosine of 0.95 or more, over all embeddings."""
+    return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), Workspace(spark))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage, by name."""
-    found = [op1_best_fit_packing, op9_token_files]
+    found = [op1_best_fit_packing, op4_simhash_groups, op7_toxicity, op8_quality, op9_token_files, op10_near_vectors]
     return {f.__name__: f for f in found}
 
 
