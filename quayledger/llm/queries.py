@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayledger.llm import binary, packing, quality, simhash, toxicity, vectors
+from quayledger.llm import binary, chat, licenses, packing, quality, simhash, toxicity, vectors
 from quayledger.llm.shared import Workspace
 
 
@@ -16,11 +16,21 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, Workspace(spark)).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and texts in all documents."""
+    return licenses.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose fingerprints are within three bits, over all documents."""
     return simhash.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), Workspace(spark))
 
 
+def op5_chat_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All maximal conversations, rendered."""
+    return chat.chat_texts(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity by clauses."""
     return toxicity.with_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -44,10 +54,10 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage, by name."""
-    found = [op1_best_fit_packing, op4_simhash_groups, op7_toxicity, op8_quality, op9_token_files, op10_near_vectors]
+    found = [op1_best_fit_packing, op3_license_scan, op4_simhash_groups, op5_chat_texts, op7_toxicity, op8_quality, op9_token_files, op10_near_vectors]
     return {f.__name__: f for f in found}
 
 
 def llm_oracle() -> dict[str, str]:
     """The same results in DuckDB's SQL where it can express them."""
-    return {}
+    return {"op5_chat_texts": chat.CHAT_SQL}
