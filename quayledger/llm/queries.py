@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayledger.llm import binary, chat, licenses, packing, quality, simhash, toxicity, vectors
+from quayledger.llm import binary, chat, licenses, packing, quality, simhash, suffixes, toxicity, vectors
 from quayledger.llm.shared import Workspace
 
 
@@ -31,6 +31,11 @@ def op5_chat_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_texts(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op6_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that stand in several documents."""
+    return suffixes.repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), Workspace(spark))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity by clauses."""
     return toxicity.with_scores(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -54,7 +59,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage, by name."""
-    found = [op1_best_fit_packing, op3_license_scan, op4_simhash_groups, op5_chat_texts, op7_toxicity, op8_quality, op9_token_files, op10_near_vectors]
+    found = [op1_best_fit_packing, op3_license_scan, op4_simhash_groups, op5_chat_texts, op6_suffix_repeats, op7_toxicity, op8_quality, op9_token_files, op10_near_vectors]
     return {f.__name__: f for f in found}
 
 
