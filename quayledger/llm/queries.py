@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayledger.llm import binary, chat, licenses, packing, quality, simhash, suffixes, toxicity, vectors
+from quayledger.llm import binary, chat, decontaminate, licenses, packing, quality, simhash, suffixes, toxicity, vectors
 from quayledger.llm.shared import Workspace
 
 
@@ -16,6 +16,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, Workspace(spark)).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in all documents, with up to a fifth of their words edited."""
+    return decontaminate.leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and texts in all documents."""
     return licenses.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
@@ -59,7 +64,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage, by name."""
-    found = [op1_best_fit_packing, op3_license_scan, op4_simhash_groups, op5_chat_texts, op6_suffix_repeats, op7_toxicity, op8_quality, op9_token_files, op10_near_vectors]
+    found = [op1_best_fit_packing, op2_benchmark_leaks, op3_license_scan, op4_simhash_groups, op5_chat_texts, op6_suffix_repeats, op7_toxicity, op8_quality, op9_token_files, op10_near_vectors]
     return {f.__name__: f for f in found}
 
 

@@ -9,6 +9,8 @@ import numpy as np
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes that part words of letters and digits; every byte beyond ASCII is a letter.
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 @lru_cache(maxsize=4)
@@ -39,11 +41,11 @@ def runs(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
 
 
-def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all texts' words between white space: hashes (never zero), first bytes and ends in the joined texts, and the number
+def words_of(texts: list[bytes], between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all texts' words, parted by the bytes `between` (a line end among them): hashes (never zero), first bytes and ends in the joined texts, and the number
     of the first word of each text, one more at the end. Texts are joined with a line end after each."""
     data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
-    inner = ~SPACE[data]
+    inner = ~between[data]
     edge = np.flatnonzero(inner[1:] != inner[:-1]) + 1
     edge = np.concatenate([[0], edge]) if len(inner) and inner[0] else edge
     first, last = edge[0::2], edge[1::2]
