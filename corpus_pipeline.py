@@ -4,9 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quayledger.llm import decontaminate, packing, quality, simhash, suffixes
 from quayledger.llm.shared import Workspace
 
-STAGES: list = []
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the byte network accepts."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near fingerprints."""
+    return simhash.one_of_each(docs, Workspace(spark))
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that an earlier document has."""
+    return suffixes.cut_repeats(docs, Workspace(spark))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their sequences and places."""
+    return packing.pack(docs, Workspace(spark))
+
+
+STAGES = [
+    ("quality", good_quality),
+    ("near_duplicates", one_of_near_duplicates),
+    ("repeats", without_repeats),
+    ("benchmark", without_benchmark),
+    ("packing", packed),
+]
 
 #: Near-duplicate groups, a trained model and edit distances are beyond SQL; tests hold the run against a brute-force version.
 ORACLE_SQL = None

@@ -207,4 +207,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of docs that hold no benchmark item; a row of a null doc_id stays."""
     gone = leaks(docs, benchmark, **options).select(F.col("doc_id").alias("leaking")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("leaking"), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["leaking"], "left_anti")

@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quayledger.llm.shared import Workspace, components, forest, grouped, ranges, slices, texts_of
 
@@ -137,3 +138,18 @@ def near_duplicates(docs: DataFrame, ws: Workspace, words: int = 3, block: int =
     out = marks.join(found, F.col("mark") == F.col("of"), "left")
     shown = F.lower(F.lpad(F.hex("mark"), 16, "0"))
     return out.select("doc_id", shown.alias("fingerprint"), F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, ws: Workspace, words: int = 3) -> DataFrame:
+    """The rows of docs that name their group: one document of each stays, and one row of a repeated doc_id, that of the smallest
+    text hash. A row of a null doc_id stays."""
+    groups = ws.save(near_duplicates(docs, ws, words).select("doc_id", "component_id"), "groups")
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    stays = docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+    repeated = ws.save(groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again")), "repeated")
+    if repeated.isEmpty():
+        return stays
+    order = next(n for n in (f"order_{k}" for k in range(len(docs.columns) + 1)) if n not in {c.lower() for c in docs.columns})
+    again = stays.join(repeated, stays["doc_id"].cast("long") == repeated["again"], "left_semi")
+    again = again.withColumn(order, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))).where(F.col(order) == 1).drop(order)
+    return stays.join(repeated, stays["doc_id"].cast("long") == repeated["again"], "left_anti").unionByName(again)
