@@ -101,7 +101,7 @@ class Items:
         for w in range(WALKS):
             out = walk(codes, starts, np.minimum(starts + sizes, ends), steps, w)
             for t in range(TABLES):
-                key, row = sizes.astype(np.uint64), np.arange(len(starts))
+                key, row = mixed(sizes.astype(np.uint64)), np.arange(len(starts))
                 for p in range(PLACES):
                     place = (self.places[w, t, p] * np.ceil(1.6 * sizes)).astype(np.int64)
                     key = mixed(key + out[row, place].astype(np.uint64) + np.uint64(1))

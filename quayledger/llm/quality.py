@@ -95,7 +95,7 @@ def fit(rows: list[tuple[bytes, int]], passes: int = PASSES, batch: int = 64, se
     shapes = {"numbers": (256, DEPTH), "filters": (TAPS, STEP * DEPTH, FILTERS), "bias": (FILTERS,), "weights": (2 * FILTERS + 2,)}
     scale = {"numbers": 0.5, "filters": 0.3, "bias": 0.0, "weights": 0.1}
     p = {k: (scale[k] * rng.standard_normal(s)).astype(np.float32) for k, s in shapes.items()}
-    if 0 < share < 1:
+    if rows and 0 < share < 1:
         moments = {k: [np.zeros(s, np.float32), np.zeros(s, np.float32)] for k, s in shapes.items()}
         t, net = 0, Network(base=base, **p)
         for pass_ in range(passes):
@@ -112,7 +112,7 @@ def fit(rows: list[tuple[bytes, int]], passes: int = PASSES, batch: int = 64, se
                     v += 0.01 * (g * g - v)
                     p[k] -= (rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)).astype(np.float32)
         return net
-    return Network(base=base, **p)
+    return Network(base=base, **p | {"weights": np.zeros(2 * FILTERS + 2, np.float32)})
 
 
 def _gradients(net: Network, some: list[tuple[bytes, int]]) -> tuple[dict[str, np.ndarray], float]:

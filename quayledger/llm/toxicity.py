@@ -146,7 +146,7 @@ def fit(rows: list[tuple[bytes, int]]) -> Grammar:
     """Learn stems and weights; without rows of both classes the given insults count and the score is the label's share."""
     decoded = [(x.decode(), y) for x, y in rows]
     share = sum(y for _, y in rows) / len(rows) if rows else 0.5
-    if not 0 < share < 1:
+    if not rows or not 0 < share < 1:
         return Grammar({w: 3.0 for w in INSULTS}, np.zeros(8), math.log((share + 1e-3) / (1 - share + 1e-3)))
     learnt = learn_stems(decoded)
     grammar = Grammar({w: 3.0 for w in INSULTS} | learnt)
