@@ -51,14 +51,17 @@ def echoes(data: np.ndarray, halves: int) -> np.ndarray:
     return hit[: halves * width].reshape(halves, width).mean(1, dtype=np.float32) if len(hit) >= halves * width else np.pad(hit, (0, halves * width - len(hit))).reshape(halves, width).mean(1, dtype=np.float32)
 
 
-def responses(net: Network, data: np.ndarray, halves: int) -> np.ndarray:
-    """The filters' values at every window: half chunk x window x filter."""
+def responses(net: Network, data: np.ndarray, halves: int, ends: np.ndarray) -> np.ndarray:
+    """The filters' values at every window: half chunk x window x filter. The last windows of a text, which lie in its filling
+    and reach into the next text, count as nothing; ends: one more than the texts' last half chunks."""
     n = halves * HALF
     x = net.numbers[data[: (n + TAPS - 1) * STEP]].reshape(n + TAPS - 1, STEP * DEPTH)
     out = x[:n] @ net.filters[0] + net.bias
     for tap in range(1, TAPS):
         out += x[tap : tap + n] @ net.filters[tap]
-    return np.maximum(out, 0).reshape(halves, HALF, FILTERS)
+    out = np.maximum(out, 0).reshape(halves, HALF, FILTERS)
+    out[ends - 1, HALF - TAPS + 1 :] = 0
+    return out
 
 
 def pooled(tops: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,7 +85,12 @@ def scores(net: Network, texts: list[bytes]) -> np.ndarray:
     """A probability for every text, over all of its chunks."""
     data, starts = laid_out(texts)
     halves = int(starts[-1])
-    tops = np.concatenate([responses(net, data[a * STEP * HALF : (min(a + 512, halves) * HALF + TAPS - 1) * STEP], min(512, halves - a)).max(1) for a in range(0, halves, 512)])
+    tops = []
+    for a in range(0, halves, 512):
+        n = min(512, halves - a)
+        ends = starts[1:][(starts[1:] > a) & (starts[1:] <= a + n)] - a
+        tops.append(responses(net, data[a * STEP * HALF : ((a + n) * HALF + TAPS - 1) * STEP], n, ends).max(1))
+    tops = np.concatenate(tops)
     z = features(tops, echoes(data, halves), starts) @ net.weights + net.base
     return 1 / (1 + np.exp(-np.clip(z.astype(float), -30, 30)))
 
@@ -118,7 +126,7 @@ def fit(rows: list[tuple[bytes, int]], passes: int = PASSES, batch: int = 64, se
 def _gradients(net: Network, some: list[tuple[bytes, int]]) -> tuple[dict[str, np.ndarray], float]:
     data, starts = laid_out([x for x, _ in some])
     halves, labels = int(starts[-1]), np.array([y for _, y in some], np.float32)
-    values = responses(net, data, halves)
+    values = responses(net, data, halves, starts[1:])
     where, tops = values.argmax(1), values.max(1)
     chunks, largest, _ = pooled(tops, starts)
     f = features(tops, echoes(data, halves), starts)

@@ -43,3 +43,11 @@ def test_clauses():
     assert w(REPORT, TARGET, INSULT) == [(toxicity.REPORTED, 2.0)]
     assert w(THREAT, TARGET) == [(toxicity.THREATENED, 1.0)]
     assert w(THREAT) == w(TARGET, OTHER) == []
+
+
+def test_scores_do_not_depend_on_neighbours(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    net = quality.fit(quality.labelled.sample(docs, labels, "quality", 5, 0, 200, 65_536), passes=2)
+    texts = [r["text"].encode() for r in docs.limit(60).collect()] + [b"", b"x", b"De De De De De De De De De De De De"]
+    together, alone = quality.scores(net, texts), [quality.scores(net, [t])[0] for t in texts]
+    assert abs(together - alone).max() < 1e-5
