@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Words of a text after lower-casing A-Z.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+from quayledger.llm.shared import ship, slices, texts_of
+from quayledger.llm.words import MARKS, runs, words_of
+
 #: Words of a gram, the share of a template's grams that a span must have, and how far diagonals of one span may lie apart.
 GRAM, SHARE, NEAR = 2, 0.8, 3
 #: Template words, and the rows they may have in the broadcast table.
@@ -25,64 +31,72 @@ TEMPLATES = {
     "cc-by-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License",
 }
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: The gram key of the mark that ends each document, so that documents without a hit keep a row.
+END = -1
 
 
-def words_of(text: F.Column) -> F.Column:
-    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0))
+def word_pairs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every run of GRAM words: the text it stands in, its first word's number and its hash; and the texts' numbers of words."""
+    hashes, _, _, first = words_of([t.lower() for t in texts], MARKS)
+    at = np.arange(max(0, len(hashes) - GRAM + 1))
+    text = np.repeat(np.arange(len(texts)), np.diff(first))[: len(at)]
+    whole = at + GRAM <= first[1:][text]
+    at, text = at[whole], text[whole]
+    keys = runs(hashes, at, at + GRAM)
+    keys[keys == np.uint64(2**64 - 1)] = 0  # END
+    return np.column_stack([text, at - first[text]]), keys.view(np.int64), np.diff(first)
 
 
-def _template_rows(spark, phrases: dict[str, str], templates: dict[str, str]) -> DataFrame:
-    """A row per gram of every phrase and template, and one for the mark that ends each document."""
-    rows = [(text, label, True) for text, label in phrases.items()] + [(text, label, False) for label, text in templates.items()]
-    if sum(len(t.split()) for t, _, _ in rows) > MOST_TEMPLATE_WORDS:
-        raise ValueError(f"more than {MOST_TEMPLATE_WORDS} template words: scan with the templates in several lists")
-    frame = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "template int, phrase string, label string, base boolean").withColumn("words", words_of(F.col("phrase")))
-    grams = frame.select("template", "label", "base", (F.size("words") - GRAM + 1).alias("need"), F.posexplode(_grams(F.col("words"))).alias("at", "g")).where("g.gram is not null")
-    grams = grams.select(F.col("g.h").alias("key"), F.col("g.gram").alias("same"), "template", "label", "base", "need", "at")
-    end = spark.createDataFrame([(-1, "", False, 1, 0)], "template int, label string, base boolean, need int, at int").select(F.lit(END).alias("key"), F.lit(None).cast("string").alias("same"), "template", "label", "base", "need", "at")
-    return grams.unionByName(end)
+def _rolling(docs: DataFrame) -> DataFrame:
+    """row, place and key of all word pairs of all documents, and an end row with doc_id and the number of words."""
 
+    def roll(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
+        for ids, texts in slices(batches, 2 << 20):
+            where, keys, sizes = word_pairs(texts)
+            yield pa.RecordBatch.from_arrays([pa.array(row + where[:, 0]), pa.array(where[:, 1]), pa.array(keys), pa.nulls(len(keys), pa.int64())], names=["row", "place", "h", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(row + np.arange(len(ids))), pa.array(sizes), pa.array(np.full(len(ids), END)), pa.array(ids, pa.int64())], names=["row", "place", "h", "doc_id"])
+            row += len(ids)
 
-#: The gram key of the mark that ends each document, so that documents without a hit keep a row.
-END = -1
+    return texts_of(docs).mapInArrow(roll, "row long, place long, h long, doc_id long")
 
 
-def _grams(words: F.Column) -> F.Column:
-    """Hash and text of every run of two words, then the end mark."""
-    last = F.size(words) - GRAM
-    pair = lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1)).alias("h"), F.concat(F.get(words, i), F.lit(" "), F.get(words, i + 1)).alias("gram"))
-    none = F.array().cast("array<struct<h:bigint,gram:string>>")
-    found = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), pair)).otherwise(none)
-    return F.concat(found, F.array(F.struct(F.lit(END).cast("long").alias("h"), F.lit(None).cast("string").alias("gram"))))
+def _template_rows(spark: SparkSession, phrases: dict[str, str], templates: dict[str, str]) -> DataFrame:
+    """A row per gram of every phrase and template, and one for the end mark."""
+    texts = [(text, label, True) for text, label in phrases.items()] + [(text, label, False) for label, text in templates.items()]
+    if sum(len(t.split()) for t, _, _ in texts) > MOST_TEMPLATE_WORDS:
+        raise ValueError(f"more than {MOST_TEMPLATE_WORDS} template words: scan with the templates in several lists")
+    where, keys, sizes = word_pairs([t.encode() for t, _, _ in texts])
+    rows = [(int(h), int(t), *texts[t][1:], int(sizes[t]) - GRAM + 1, int(at)) for (t, at), h in zip(where, keys)]
+    return spark.createDataFrame([*rows, (END, -1, "", False, 1, 0)], "key long, template int, label string, base boolean, need int, at long")
 
 
 def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict[str, str] | None = None) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score of every row of docs.
 
-    All word pairs join the template pairs by hash and then by text; votes are counted per document, template and diagonal
+    All word pairs join the template pairs by 64-bit hash; votes are counted per document, template and diagonal
     (the pair's place less its place in the template). A phrase stands where one diagonal has all of its pairs. A template's
     neighbouring diagonals, so few words added or lost, are one span, and it counts with SHARE of the pairs. The score is
     the largest share found, 1 for any phrase. The template table has a checked size and is broadcast; a row is added up in
     its own task first, so no word pair is hot. Null texts are empty: no words, null places, empty labels, score 0. Null
     doc_ids and repeated rows get a row each; an empty table gives none."""
     spark = docs.sparkSession
+    ship(spark)
     table = _template_rows(spark, PHRASES if phrases is None else phrases, TEMPLATES if templates is None else templates)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("words"), F.monotonically_increasing_id().alias("row"))
-    rows = rows.select("row", "doc_id", F.size("words").cast("long").alias("n_words"), F.posexplode(_grams(F.col("words"))).alias("place", "g"))
-    rows = rows.select("row", "doc_id", "n_words", "place", F.col("g.h").alias("h"), F.col("g.gram").alias("gram"))
-    votes = rows.join(F.broadcast(table), (F.col("h") == F.col("key")) & F.col("gram").eqNullSafe(F.col("same")))
-    keys = ["row", "doc_id", "n_words", "template", "label", "base", "need"]
-    lines = votes.groupBy(*keys, (F.col("place") - F.col("at")).alias("diagonal")).agg(F.collect_set("at").alias("met"), F.min("place").alias("first"))
-    places = lines.where("base and size(met) = need").select("row", "doc_id", "n_words", "label", F.lit(True).alias("base"), F.col("diagonal").cast("long").alias("start"), F.lit(1.0).alias("share"))
+    votes = _rolling(docs).join(F.broadcast(table), F.col("h") == F.col("key"))
+    keys = ["row", "template", "label", "base", "need"]
+    lines = votes.groupBy(*keys, (F.col("place") - F.col("at")).alias("diagonal")).agg(F.collect_set("at").alias("met"), F.max("doc_id").alias("doc_id"))
+    none = F.lit(None).cast("long")
+    places = lines.where("base and size(met) = need").select("row", none.alias("doc_id"), none.alias("n_words"), "label", F.lit(True).alias("base"), F.col("diagonal").alias("start"), F.lit(1.0).alias("share"))
     in_text = Window.partitionBy("row", "template").orderBy("diagonal")
     apart = lines.where("not base and template >= 0").withColumn("new", (F.col("diagonal") - F.lag("diagonal").over(in_text) > NEAR).cast("int"))
     spans = apart.withColumn("span", F.sum(F.coalesce("new", F.lit(1))).over(in_text)).groupBy(*keys, "span").agg(F.size(F.array_distinct(F.flatten(F.collect_list("met")))).alias("met"))
-    spans = spans.where(F.col("met") >= SHARE * F.col("need")).select("row", "doc_id", "n_words", "label", F.lit(False).alias("base"), F.lit(None).cast("long").alias("start"), (F.col("met") / F.col("need")).alias("share"))
-    every = lines.where("template = -1").select("row", "doc_id", "n_words", F.lit(None).cast("string").alias("label"), F.lit(False).alias("base"), F.lit(None).cast("long").alias("start"), F.lit(0.0).alias("share"))
+    spans = spans.where(F.col("met") >= SHARE * F.col("need")).select("row", none.alias("doc_id"), none.alias("n_words"), "label", F.lit(False).alias("base"), none.alias("start"), (F.col("met") / F.col("need")).alias("share"))
+    every = lines.where("template = -1").select("row", "doc_id", F.col("diagonal").alias("n_words"), F.lit(None).cast("string").alias("label"), F.lit(False).alias("base"), none.alias("start"), F.lit(0.0).alias("share"))
     found = every.unionByName(places).unionByName(spans)
     joined = lambda c: F.array_join(F.sort_array(F.collect_set(c)), ",")
-    out = found.groupBy("row", "doc_id", "n_words").agg(
+    out = found.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
         F.count(F.when(F.col("base"), 1)).alias("n_base"), F.min("start").alias("first_word"), F.max("start").alias("last_word"),
         joined(F.when(F.col("base"), F.col("label"))).alias("base_labels"), joined(F.col("label")).alias("labels"), F.max("share").alias("score"),
     )
