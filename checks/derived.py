@@ -243,7 +243,7 @@ TABLES = {
                CASE WHEN l_linestatus = 'O' THEN 'Yes' ELSE 'No' END AS is_origin_empty,
                {pick("l_linenumber", ["Cross Stuffing", "Unstuffing by Hand", "Unstuffing to Cargo",
                                       "Unstuffing to CCCS"])} AS service,
-               {LINE_CUSTOMER} AS invoiced
+               {LINE_CUSTOMER} AS charged
         FROM {LINES}
     """,
     "by_catch_transfer": f"""
@@ -268,7 +268,7 @@ TABLES = {
                {tonnes_text("l_quantity * 0.207")} AS total_tonnage,
                CASE WHEN l_linenumber = 4 THEN ' ' ELSE {tonnes_text("l_quantity * 0.051")} END
                    AS overtime_tonnage,
-               {LINE_CUSTOMER} AS invoiced
+               {LINE_CUSTOMER} AS charged
         FROM {LINES}
     """,
     "container_ops": f"""
@@ -300,7 +300,7 @@ TABLES = {
     """,
     "container_shifting": f"""
         SELECT {ORDER_DAY} AS date, {ORDER_BOX} AS container_number,
-               {pick("o_orderkey", ["IOT", "MAERSKLINE", "INVALID", "CMA CGM"])} AS invoice_to,
+               {pick("o_orderkey", ["IOT", "MAERSKLINE", "INVALID", "CMA CGM"])} AS billed_to,
                o_orderpriority AS service_remarks
         FROM {ORDERS}
     """,
@@ -311,14 +311,14 @@ TABLES = {
                {pick("event_id", ["-25", "-35", "-60"])} AS set_point,
                {pick("event_id + user_id", ["Carrier", "Daikin", "Thermo King"])} AS unit_manufacturer,
                {pick("event_id", ["PASSED", "FAILED"])} AS status,
-               {pick("event_id + user_id", ["MAERSKLINE", "IOT", "INVALID", "CMA CGM"])} AS invoice_to,
+               {pick("event_id + user_id", ["MAERSKLINE", "IOT", "INVALID", "CMA CGM"])} AS billed_to,
                event_type AS plugged_on
         FROM {{events}}
     """,
     "washing": f"""
         SELECT {ORDER_DAY} AS date, {ORDER_BOX} AS container_number,
                {pick("o_orderkey + o_custkey", ["CMA CGM", "IOT", "INVALID", "IPHS", "SAPMER"])}
-                   AS invoice_to,
+                   AS billed_to,
                o_orderpriority AS service_remarks
         FROM {ORDERS}
     """,
@@ -329,7 +329,7 @@ TABLES = {
                CAST(o_custkey % 5 AS INT) * 1800 AS overtime_hours,
                {ORDER_CUSTOMER} AS customer, 'Quay ' || CAST(o_orderkey % 4 AS STRING) AS location,
                o_orderpriority AS operation_type, o_orderstatus AS remarks,
-               {ORDER_CUSTOMER} AS invoiced_to
+               {ORDER_CUSTOMER} AS charged_to
         FROM {ORDERS}
     """,
     "transfer": f"""
@@ -349,7 +349,7 @@ TABLES = {
                CASE WHEN l_returnflag = 'R' THEN 'Dry Box' ELSE 'Reefer' END AS type,
                {pick("l_suppkey + l_linenumber", ["40''", "20''", "45''"]).replace("''''", "''")} AS size,
                {pick("l_orderkey + l_linenumber", ["IOT", "CCCS", "", "Other"])} AS remarks,
-               {LINE_CUSTOMER} AS invoice_to
+               {LINE_CUSTOMER} AS billed_to
         FROM {LINES}
     """,
     "scow_transfer": f"""
@@ -369,7 +369,7 @@ TABLES = {
                {END_CLOCK.format(LINE_CLOCK, "l_partkey")} AS end_time,
                {END_CLOCK.format(LINE_CLOCK, "l_partkey")} - {LINE_CLOCK} AS duration,
                {LINE_CUSTOMER} AS customer,
-               {pick("l_suppkey", ["STO", "Vessel"])} AS invoiced_in,
+               {pick("l_suppkey", ["STO", "Vessel"])} AS charged_in,
                {pick("l_linenumber + l_suppkey", ["Net Repair", "Salt Loading", "Provision",
                                                   "Gangway", "Spare Parts"])} AS service_type
         FROM {LINES}
@@ -418,7 +418,7 @@ TABLES = {
                     END AS end_date
         FROM {ORDERS}
     """,
-    "invoice_status": f"""
+    "statement_register": f"""
         SELECT CAST(month({ORDER_DAY}) AS STRING) AS month,
                'STO-' || CAST(o_orderkey AS STRING) AS sub_type, {ORDER_VESSEL} AS report_name,
                {ORDER_CUSTOMER} AS customer, {ORDER_DAY} AS starting_date,

@@ -14,11 +14,11 @@ from quayledger.functions.timeband import label_by_clock, label_by_cutoff, valid
 from quayledger.operators import quality
 from quayledger.operators.allocate import share, with_group_totals
 from quayledger.operators.asof import asof_join, dated_steps, lookup_step
-from quayledger.operators.calendar import public_holidays, week_table, with_day_name
+from quayledger.operators.calendar import date_spine, holidays_of, month_range, two_month_range, week_table, with_day_name
 from quayledger.operators.ordered import previous_row
-from quayledger.operators.reconcile import fallback_lookup
+from quayledger.operators.reconcile import difference_report, fallback_lookup
 from quayledger.operators.rollup import history_before
-from quayledger.operators.views import daily_sums, latest_date, member, view
+from quayledger.operators.views import columns_like, daily_sums, latest_date, member, view
 from quayledger.plans import berth, cold_store, operations, registry, scows, stuffing, unloading
 from quayledger.plans import pricing, transport
 from quayledger.sources.catalog import split_listed_rows
@@ -45,12 +45,27 @@ def _half_up(column: str, scale: int):
 
 def holiday_orders(t: DerivedInputs) -> DataFrame:
     orders = t.given("orders").select(F.col("o_orderdate").cast("date").alias("date"), "o_orderkey")
-    holidays = public_holidays(orders.sparkSession, 1995, 2001)
+    holidays = holidays_of(orders.select(F.year("date").alias("year")))
     return (
         holidays.join(orders, "date", "left").groupBy("date").agg(F.count("o_orderkey").alias("orders"))
     )
 
 
+def century_day_labels(t: DerivedInputs) -> DataFrame:
+    """Order days moved by up to two centuries either way, by their label."""
+    years = F.col("o_orderkey") % 300 - 96
+    days = t.given("orders").select(F.add_months(F.col("o_orderdate").cast("date"), (years * 12).cast("int")).alias("date"))
+    return with_day_name(days).groupBy("date", "day_name").agg(F.count(F.lit(1)).alias("orders"))
+
+
+def orders_by_day(t: DerivedInputs) -> DataFrame:
+    """Orders of every day from the first to the last, days without any among them."""
+    orders = t.given("orders").select(F.col("o_orderdate").cast("date").alias("date"))
+    first, last = orders.agg(F.min("date"), F.max("date")).first()
+    counted = orders.groupBy("date").agg(F.count(F.lit(1)).alias("orders"))
+    return date_spine(orders.sparkSession, first, last).join(counted, "date", "left").fillna(0, ["orders"])
+
+
 def order_weeks(t: DerivedInputs) -> DataFrame:
     days = t.given("orders").select(F.col("o_orderdate").cast("date").alias("date"))
     return week_table(days)
@@ -281,34 +296,66 @@ def net_list_view(t: DerivedInputs) -> DataFrame:
         registry.build("net_list", t),
         where=[member("service", ["Unload to Quay", "Unload to CCCS"])],
         period=(None, None),
-        select=["date", "service", "total_tonnage", "invoice_value"],
+        select=["date", "service", "total_tonnage", "line_value"],
     )
-    sums = {"tonnage": F.col("total_tonnage"), "value": F.col("invoice_value").cast("decimal(18,3)")}
+    sums = {"tonnage": F.col("total_tonnage"), "value": F.col("line_value").cast("decimal(18,3)")}
     return daily_sums(net, sums, keys=["service"])
 
 
 def top_net_list(t: DerivedInputs) -> DataFrame:
     return view(
         registry.build("net_list", t),
-        where=[F.col("invoice_value").isNotNull()],
-        select=["date", "vessel", "destination", "overtime", "storage_type", "invoice_value"],
-        order=[F.desc("invoice_value"), "date", "vessel", "destination", "overtime", "storage_type"],
+        where=[F.col("line_value").isNotNull()],
+        select=["date", "vessel", "destination", "overtime", "storage_type", "line_value"],
+        order=[F.desc("line_value"), "date", "vessel", "destination", "overtime", "storage_type"],
         limit=25,
     )
 
 
-def _summary_net(t: DerivedInputs) -> DataFrame:
-    """The net list over the unloading summary sheet, which visits and differences read."""
-    return unloading.unloading_lines(t["unloading_summary"])
+def net_list_month(t: DerivedInputs) -> DataFrame:
+    """The net list of two months of one year, as the period filter takes them."""
+    net = view(registry.build("net_list", t), period=two_month_range(2025, 11), select=["date", "service", "total_tonnage"])
+    november = view(net, period=month_range(2025, 11)).withColumn("month", F.lit(11))
+    both = net.withColumn("month", F.lit(0)).unionByName(november)
+    return both.groupBy("month", "service").agg(F.count(F.lit(1)).alias("lines"), F.sum("total_tonnage").alias("tonnage"))
+
+
+def tonnage_columns(t: DerivedInputs) -> DataFrame:
+    """Sums of all columns of the cold-store log that hold tonnes, found by name."""
+    log = t["cold_store"]
+    return log.groupBy("movement_type").agg(*[F.sum(to_tonnes(F.col(c))).alias(c) for c in columns_like(log, "tonnage")])
+
+
+def class_prices(t: DerivedInputs) -> DataFrame:
+    """Prices of one class of the list."""
+    return pricing.price_list(t["price"], price_class="Net List").select("service", "price", "date")
+
+
+def bycatch_balance(t: DerivedInputs) -> DataFrame:
+    """By-catch tonnes unloaded or transferred against those of the result lines, by key; only where they differ."""
+    keys = ["date", "customer", "vessel"]
+    companies = pricing.clients_of_type(t["client"], "BYCATCH")
+    arrived = cold_store.by_catch_unloading(t["cold_store"], companies)
+    moved = cold_store.by_catch_transfers(t["by_catch_transfer"])
+    sources = arrived.select(*keys, "movement_type", "total_tonnage").unionByName(
+        moved.join(arrived.select(*keys, "movement_type").distinct(), [*keys, "movement_type"], "left_anti").select(*keys, "movement_type", "total_tonnage")
+    )
+    return difference_report(sources, registry.build("bycatch", t), keys, "total_tonnage")
 
 
 def stop_over_totals(t: DerivedInputs) -> DataFrame:
-    return berth.stop_over_totals(t["invoice_status"], registry.build("net_list", t))
+    return berth.stop_over_totals(t["statement_register"], registry.build("net_list", t))
 
 
 DERIVED_QUERIES: dict[str, Query] = {
     "holiday_orders": holiday_orders,
     "order_weeks": order_weeks,
+    "century_day_labels": century_day_labels,
+    "orders_by_day": orders_by_day,
+    "net_list_month": net_list_month,
+    "tonnage_columns": tonnage_columns,
+    "class_prices": class_prices,
+    "bycatch_balance": bycatch_balance,
     "overtime_labels": overtime_labels,
     "priced_events": priced_events,
     "next_purchase": next_purchase,
@@ -347,8 +394,8 @@ DERIVED_QUERIES: dict[str, Query] = {
         "time_in",
         "overtime",
         "num_of_scows",
-        _half_up("allocated_overtime_tonnage", 6),
-        _half_up("allocated_normal_tonnage", 6),
+        _half_up("overtime_part", 6),
+        _half_up("normal_part", 6),
     ),
     "flat_rate_dispatch": lambda t: cold_store.flat_rate_dispatch(
         t["cold_store"], V.BIN_DISPATCH_SERVICES
@@ -366,9 +413,9 @@ DERIVED_QUERIES: dict[str, Query] = {
     "additional_overtime": lambda t: operations.additional_overtime(
         t["additional_overtime"], t["price"]
     ),
-    "activity_difference": lambda t: operations.activity_difference(t["activity"], _summary_net(t)),
-    "berth_dues": lambda t: berth.berth_dues(t["berth"], _summary_net(t)),
-    "stop_over_numbers": lambda t: berth.stop_over_numbers(t["berth"], t["invoice_status"]),
+    "activity_difference": lambda t: operations.activity_difference(t["activity"], registry.landed_lines(t)),
+    "berth_dues": lambda t: berth.berth_dues(t["berth"], registry.landed_lines(t)),
+    "stop_over_numbers": lambda t: berth.stop_over_numbers(t["berth"], t["statement_register"]),
     "stop_over_totals": stop_over_totals,
     "forklift_statement": lambda t: berth.forklift_statement(
         t["report_status"], transport.forklift(t["forklift"])

@@ -130,12 +130,3 @@ def hhmm(seconds: Column) -> Column:
         F.lpad(minutes.cast("string"), 2, "0"),
     )
 
-
-def statement_hhmm(minutes: Column) -> Column:
-    """HH:MM text of minutes on a statement; the hours field is two characters wide."""
-    hours = whole(minutes, 60)
-    return F.concat(
-        F.lpad(hours.cast("string"), 2, "0"),
-        F.lit(":"),
-        F.lpad((minutes - hours * 60).cast("string"), 2, "0"),
-    )

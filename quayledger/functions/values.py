@@ -44,7 +44,7 @@ STORAGE_TYPES = ["Brine", "Dry"]
 PLUGGED_STATUSES = ["Full", "Partial", "Completed"]
 SET_POINTS = ["-25", "-35", "-60"]
 PTI_STATUSES = ["PASSED", "FAILED"]
-PTI_INVOICE_TO = ["MAERSKLINE", "IOT", "INVALID", "CMA CGM"]
+PTI_PAYERS = ["MAERSKLINE", "IOT", "INVALID", "CMA CGM"]
 SCOW_CONTAINERS = ["STDU6536343", "STDU6536338"]
 
 # Dated contract terms.

@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .calendar import FIRST_YEAR, LAST_YEAR
+# Years that a dated list is keyed by; days outside use the edge years, so none is left out.
+FIRST_YEAR, LAST_YEAR = 1990, 2099
 
 DEFAULT_BUCKET_SECONDS = 32 * 86_400
 

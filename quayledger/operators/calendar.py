@@ -8,11 +8,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Years covered when the caller does not name any.
-FIRST_YEAR, LAST_YEAR = 1990, 2099
-# A holiday calendar has under 25 days a year, so this many years is safe to broadcast.
-MAX_BROADCAST_YEARS = 500
-
 # Day labels from Sunday on.
 WEEKDAYS = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
 # Month and day of the holidays on a fixed date.
@@ -27,21 +22,17 @@ ONE_TIME_HOLIDAYS = [date(2025, 10, 11), date(2025, 10, 13), date(2025, 10, 27)]
 EASTER_OFFSETS = [-2, -1, 0, 1, 60]
 
 
-# Easter Sunday as days from 28 March (Oudin's computus in integer arithmetic).
-EASTER_SQL = """
-    SELECT year, date_add(make_date(year, 3, 28), CAST(moon - weekday AS INT)) AS easter
-    FROM (SELECT *, (year + year div 4 + moon + 2 - century + century div 4) % 7 AS weekday
-    FROM (SELECT *, age - (age div 28) * (1 - (29 div (age + 1)) * ((21 - golden) div 11)) AS moon
-    FROM (SELECT *, (century - century div 4 - (8 * century + 13) div 25 + 19 * golden + 15) % 30 AS age
-    FROM (SELECT *, year % 19 AS golden, year div 100 AS century
-    FROM (SELECT CAST(id AS INT) AS year FROM range({first}, {last}, 1, 1))))))
-"""
+def easter_sql(year: str) -> str:
+    """Easter Sunday of a year: Oudin's computus in integer arithmetic, days from 28 March."""
+    century, golden = f"({year} div 100)", f"({year} % 19)"
+    age = f"(({century} - {century} div 4 - (8 * {century} + 13) div 25 + 19 * {golden} + 15) % 30)"
+    moon = f"({age} - ({age} div 28) * (1 - (29 div ({age} + 1)) * ((21 - {golden}) div 11)))"
+    weekday = f"(({year} + {year} div 4 + {moon} + 2 - {century} + {century} div 4) % 7)"
+    return f"date_add(make_date({year}, 3, 28), CAST({moon} - {weekday} AS INT))"
 
 
-def public_holidays(
-    spark: SparkSession, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR
-) -> DataFrame:
-    """One row per public holiday date of the years given."""
+def holidays_of(years: DataFrame) -> DataFrame:
+    """One row per public holiday date of the years in column ``year``."""
     fixed = [f"make_date(year, {m}, {d})" for m, d in FIXED_HOLIDAYS]
     fixed += [
         f"if(year >= {since}, make_date(year, {m}, {d}), NULL)"
@@ -49,38 +40,52 @@ def public_holidays(
     ]
     moving = [f"date_add(easter, {days})" for days in EASTER_OFFSETS]
     once = [f"if(year = {day.year}, DATE '{day}', NULL)" for day in ONE_TIME_HOLIDAYS]
-    easter = EASTER_SQL.format(first=int(first_year), last=int(last_year) + 1)
-    return spark.sql(f"""
-        SELECT explode(array_distinct(array_compact(
+    dates = years.select(F.col("year").cast("int").alias("year")).distinct().withColumn(
+        "easter", F.expr(easter_sql("year"))
+    )
+    return dates.select(
+        F.expr(f"array({', '.join(fixed)})").alias("fixed"),
+        F.expr(f"array({', '.join(moving + once)})").alias("other"),
+    ).select(
+        F.expr("""explode(array_distinct(array_compact(
             fixed || transform(fixed, day -> if(dayofweek(day) = 1, date_add(day, 1), NULL)) || other
-        ))) AS date
-        FROM (SELECT array({", ".join(fixed)}) AS fixed, array({", ".join(moving + once)}) AS other
-              FROM ({easter}))
-    """)
-
-
-def with_day_name(
-    df: DataFrame,
-    date_col: str = "date",
-    name: str = "day_name",
-    first_year: int = FIRST_YEAR,
-    last_year: int = LAST_YEAR,
-) -> DataFrame:
-    """Add the day label: PH on public holidays, else Sun..Sat."""
-    if last_year - first_year > MAX_BROADCAST_YEARS:
-        raise ValueError(f"calendar of more than {MAX_BROADCAST_YEARS} years")
-    holidays = public_holidays(df.sparkSession, first_year, last_year).select(
-        F.col("date").alias("_holiday")
+        )))""").alias("date")
+    )
+
+
+def public_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
+    """One row per public holiday date of the years from first to last."""
+    return holidays_of(spark.range(first_year, last_year + 1).select(F.col("id").alias("year")))
+
+
+def is_public_holiday(date_col: str) -> Column:
+    """Whether a date is a public holiday, computed from the date itself, for any year."""
+    day = f"`{date_col}`"
+
+    def fixed(d: str) -> str:
+        known = ", ".join(str(100 * m + n) for m, n in FIXED_HOLIDAYS)
+        since = "".join(
+            f" OR (month({d}) = {m} AND day({d}) = {n} AND year({d}) >= {first})"
+            for m, n, first in LATER_FIXED_HOLIDAYS
+        )
+        return f"(100 * month({d}) + day({d}) IN ({known}){since})"
+
+    offsets = ", ".join(map(str, EASTER_OFFSETS))
+    once = ", ".join(f"DATE '{d}'" for d in ONE_TIME_HOLIDAYS)
+    before = f"date_sub({day}, 1)"
+    return F.expr(
+        f"{fixed(day)} OR (dayofweek({day}) = 2 AND {fixed(before)}) OR {day} IN ({once})"
+        f" OR datediff({day}, {easter_sql(f'year({day})')}) IN ({offsets})"
     )
+
+
+def with_day_name(df: DataFrame, date_col: str = "date", name: str = "day_name") -> DataFrame:
+    """Add the day label: PH on public holidays, else Sun..Sat."""
     weekdays = F.array(*[F.lit(d) for d in WEEKDAYS])
-    label = F.when(F.col("_holiday").isNotNull(), "PH").otherwise(
+    label = F.when(is_public_holiday(date_col), "PH").otherwise(
         F.get(weekdays, F.dayofweek(date_col) - 1)
     )
-    return (
-        df.join(F.broadcast(holidays), F.col(date_col) == F.col("_holiday"), "left")
-        .withColumn(name, label)
-        .drop("_holiday")
-    )
+    return df.withColumn(name, label)
 
 
 def date_spine(spark: SparkSession, first: date, last: date) -> DataFrame:

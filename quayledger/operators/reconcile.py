@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,23 +30,49 @@ def three_way(
     second: DataFrame,
     keys: Sequence[str],
     measures: Sequence[str],
-    nonzero: str,
+    order: Sequence[str],
+    scale: int = 3,
 ) -> DataFrame:
-    """Rows only in ``first``, all rows of ``second``, and ``first`` minus ``second`` where both have the key.
+    """Rows only in ``first``, all rows of ``second``, and what ``second`` leaves of ``first`` where both have the key.
 
-    The residual is one row per pair of matching rows, dropped when ``nonzero``
-    comes to 0. ``first`` is expected pre-aggregated to a few rows per key.
+    The second side is summed per key and taken off once. The rows of ``first`` share it by the
+    first measure, or bear it evenly where that sums to 0; shares are differences of rounded
+    running parts in ``order``, so per key and measure the result sums to ``first`` for the keys
+    of ``first``, and to ``second`` for the others. Rows left with no
+    measure are dropped. A key has few rows of ``first``: it comes summed.
     """
-    taken = second.select(*keys).distinct()
-    only_first = first.join(taken, list(keys), "left_anti").select(*first.columns)
-    right = second.select(*keys, *[F.col(m).alias(f"_{m}") for m in measures])
-    left_over = {m: (F.col(m) - F.col(f"_{m}")).cast(first.schema[m].dataType) for m in measures}
-    residual = (
-        first.join(right, list(keys))
-        .withColumns(left_over)
-        .filter(F.col(nonzero) != 0)
-        .select(*first.columns)
+    taken = second.groupBy(*keys).agg(*[F.sum(m).alias(f"_{m}") for m in measures])
+    unit = 10**scale
+    number = lambda c: (c * F.lit(unit)).cast("decimal(38,0)")
+    by_key = Window.partitionBy(*keys)
+    so_far = by_key.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    basis = number(F.col(measures[0]))
+    weighed = (
+        first.join(taken, list(keys))
+        .withColumns({f"_{m}": number(F.col(f"_{m}")) for m in measures})
+        .withColumns({"_whole": F.sum(basis).over(by_key), "_rows": F.count(F.lit(1)).over(by_key)})
+        .withColumns({"_part": F.sum(basis).over(so_far), "_row": F.row_number().over(by_key.orderBy(*order))})
+        .withColumns({"_start": F.col("_part") - basis, "_above": F.col("_row") - 1})
     )
+
+    def running(m: str, done: str, row: str) -> str:
+        """Whole units of the first rows' share, rounded half up in integers."""
+        by_part = f"(2 * _{m} * {done} + _whole) div (2 * _whole)"
+        return (
+            f"CASE WHEN {row} = _rows THEN CAST(_{m} AS BIGINT) WHEN _whole <> 0 THEN {by_part}"
+            f" ELSE (2 * _{m} * {row} + _rows) div (2 * _rows) END"
+        )
+
+    share = {m: F.expr(f"({running(m, '_part', '_row')}) - ({running(m, '_start', '_above')})") for m in measures}
+    left_over = {
+        m: (F.col(m) - share[m].cast("decimal(20,0)") / F.lit(unit)).cast(first.schema[m].dataType) for m in measures
+    }
+    something = F.lit(False)
+    for m in measures:
+        something = something | (F.col(m) != 0)
+    # All shares are taken before a measure is replaced.
+    residual = weighed.select(*[left_over.get(c, F.col(c)).alias(c) for c in first.columns]).filter(something)
+    only_first = first.join(taken.select(*keys), list(keys), "left_anti").select(*first.columns)
     return only_first.unionByName(second.select(*first.columns)).unionByName(residual)
 
 

@@ -36,7 +36,7 @@ def roll_up_periods(
     touches, so the join is an equi join on (key, bucket) with the exact date
     test left over. Periods without services keep a row with null sums;
     ``days_name`` counts the service days; ``extra_keys`` of the services split
-    the rows further.
+    the rows further. Equal periods give as many equal rows.
     """
     keys = [f"_by{i}" for i in range(len(by))]
     daily = (
@@ -51,24 +51,25 @@ def roll_up_periods(
     touched = F.when(
         F.col(end) >= F.col(start), F.sequence(_bucket(F.col(start)), _bucket(F.col(end)))
     )
-    spread = periods.withColumn("_touched", F.explode_outer(touched))
+    # Equal periods are rolled up once and repeated at the end.
+    counted = periods.groupBy(*periods.columns).agg(F.count(F.lit(1)).alias("_times"))
+    spread = counted.withColumn("_touched", F.explode_outer(touched))
     same = F.col("_touched") == F.col("_bucket")
     for (p, _), k in zip(by, keys):
         same = same & (F.col(p) == F.col(k))
     within = F.col("_day").between(F.col(start), F.col(end))
     matched = spread.join(daily, same & within, "left")
-    out = matched.groupBy(*periods.columns, *extra_keys).agg(
+    out = matched.groupBy(*counted.columns, *extra_keys).agg(
         *[F.sum(name).alias(name) for name in sums], F.count("_day").alias(days_name)
     )
-    if not extra_keys:
-        return out
-    # A period over several buckets also has an empty row from the buckets without services.
-    found, empty = out.filter(F.col(days_name) > 0), out.filter(F.col(days_name) == 0)
-    served = found.select(*[F.col(c).alias(f"_p_{c}") for c in periods.columns]).distinct()
-    same_period = F.lit(True)
-    for c in periods.columns:
-        same_period = same_period & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
-    return found.unionByName(empty.join(served, same_period, "left_anti"))
+    if extra_keys:
+        # A period over several buckets also has an empty row from the buckets without services.
+        by_period = Window.partitionBy(*counted.columns)
+        out = out.withColumn("_served", F.max(days_name).over(by_period)).filter(
+            (F.col(days_name) > 0) | (F.col("_served") == 0)
+        )
+    times = F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))
+    return out.select(*periods.columns, *extra_keys, *sums, days_name, times.alias("_time")).drop("_time")
 
 
 def history_before(

@@ -56,7 +56,7 @@ def cross_stuffing_log(cross_stuffing: DataFrame, period: Period = None) -> Data
         _tonnes("overtime_tonnage"),
         "is_origin_empty",
         "service",
-        "invoiced",
+        "charged",
     )
 
 
@@ -88,7 +88,7 @@ def container_stuffing_log(cccs_stuffing: DataFrame, period: Period = None) -> D
         F.lit("Dry").alias("storage_type"),
         _tonnes("total_tonnage"),
         _tonnes("overtime_tonnage"),
-        "invoiced",
+        "charged",
     )
 
 
@@ -212,7 +212,7 @@ def cross_stuffing(
     lines = with_price(
         cross_stuffing_log(cross_stuffing_sheet, period), price, F.col("service")
     )
-    discounted = F.col("invoiced").isin(V.BY_CATCH_COMPANIES) & (
+    discounted = F.col("charged").isin(V.BY_CATCH_COMPANIES) & (
         F.col("service") == "Unstuffing to CCCS"
     )
     unit = F.when(discounted, F.col("price") - money(V.UNSTUFFING_DISCOUNT)).otherwise(
@@ -264,7 +264,7 @@ def by_catch(
         by_catch_transfers(by_catch_transfer, period),
         ["date", "customer", "vessel", "movement_type"],
         ["total_tonnage", "overtime_tonnage"],
-        nonzero="total_tonnage",
+        order=["storage_type"],
     )
     return (
         with_price(lines, price, F.col("operation_type"))

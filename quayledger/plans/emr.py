@@ -20,13 +20,13 @@ Period = tuple[date | None, date | None] | None
 
 def shifting(container_shifting: DataFrame, price: DataFrame) -> DataFrame:
     """Container shifts, half as much again on special days."""
-    lines = with_day_name(container_shifting.filter(F.col("invoice_to") != "INVALID"))
+    lines = with_day_name(container_shifting.filter(F.col("billed_to") != "INVALID"))
     rate = F.when(is_special(F.col("day_name")), factor("1.5")).otherwise(factor("1.0"))
     return with_price(lines, price, "Shifting").select(
         "day_name",
         "date",
         "container_number",
-        "invoice_to",
+        "billed_to",
         "service_remarks",
         (F.col("price") * rate).cast(PRICE).alias("price"),
     )
@@ -57,7 +57,7 @@ def pti(pti_log: DataFrame, price: DataFrame) -> DataFrame:
     visits = with_prices(visits, price, services)
     set_point = F.col("set_point").cast("string")
     base = (
-        F.when(F.col("invoice_to") == "IOT", F.floor(F.col("minutes") / 60) / 24 + 1)
+        F.when(F.col("billed_to") == "IOT", F.floor(F.col("minutes") / 60) / 24 + 1)
         .when(set_point == "-60", as_double(F.col("s_freezer")))
         .when(set_point == "-35", as_double(F.col("magnum")))
         .when(set_point == "-25", as_double(F.col("standard")))
@@ -79,7 +79,7 @@ def pti(pti_log: DataFrame, price: DataFrame) -> DataFrame:
             "datetime_start",
             "container_number",
             "set_point",
-            "invoice_to",
+            "billed_to",
             "datetime_end",
             "hours",
             "status",
@@ -96,11 +96,11 @@ def pti(pti_log: DataFrame, price: DataFrame) -> DataFrame:
 def washing(washing_log: DataFrame, price: DataFrame, period: Period = None) -> DataFrame:
     """Container cleaning in whole currency units; invalid lines are free."""
     lines = washing_log.filter(in_range(F.col("date"), period))
-    unit = F.when(F.col("invoice_to") != "INVALID", F.col("price")).otherwise(money("0"))
+    unit = F.when(F.col("billed_to") != "INVALID", F.col("price")).otherwise(money("0"))
     return with_price(lines, price, "Container Cleaning").select(
         "date",
         "container_number",
-        "invoice_to",
+        "billed_to",
         "service_remarks",
         unit.cast("bigint").alias("price"),
     )

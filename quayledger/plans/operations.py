@@ -25,7 +25,7 @@ def extra_men(activity: DataFrame, price: DataFrame) -> DataFrame:
     men = F.when(
         F.col("stevedores") - STANDARD_CREW == F.col("extra_men"), F.col("extra_men").cast("string")
     ).otherwise("check")
-    total = F.col("total_tonnage") * _day_rate() * F.col("extra_men").cast("decimal(4,0)")
+    total = F.col("total_tonnage") * _day_rate() * F.col("extra_men").cast("decimal(10,0)")
     return lines.select(
         "day_name",
         "date",
@@ -57,8 +57,8 @@ def additional_overtime(overtime_log: DataFrame, price: DataFrame) -> DataFrame:
     hours = F.ceil(minutes / 60)
     total = (
         F.col("price")
-        * F.col("number_of_hours").cast("decimal(4,0)")
-        * F.col("number_of_stevedores").cast("decimal(6,0)")
+        * F.col("number_of_hours").cast("decimal(10,0)")
+        * F.col("number_of_stevedores").cast("decimal(10,0)")
     )
     return with_price(overtime_log, price, "Additional Overtime").withColumn(
         "number_of_hours", hours

@@ -14,11 +14,16 @@ from .pricing import clients_of_type, owned_containers
 Tables = Mapping[str, DataFrame]
 
 
+def landed_lines(t: Tables) -> DataFrame:
+    """All landed lines: port and cold store, the latter scaled to the official tonnes."""
+    groups = unloading.reading_groups(unloading.classified_readings(t["unloading_raw"]))
+    return unloading.settled_lines(groups, unloading.cold_store_records(t["cold_store"]))
+
+
 def _net_list(t: Tables) -> DataFrame:
     """The net list over the summed scale readings."""
-    groups = unloading.reading_groups(unloading.classified_readings(t["unloading_raw"]))
     return unloading.net_list(
-        unloading.settled_lines(groups, unloading.cold_store_records(t["cold_store"])),
+        landed_lines(t),
         unloading.stuffing_types(t["container_ops"]),
         owned_containers(t["transfer"]),
         clients_of_type(t["client"], "CARGO"),

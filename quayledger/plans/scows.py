@@ -162,21 +162,21 @@ def allocate_scows(
         keys,
         {
             "total_scows_all": scows,
-            "total_scows_overtime": F.when(is_overtime, scows).otherwise(0),
+            "overtime_scows": F.when(is_overtime, scows).otherwise(0),
         },
-    ).withColumn("total_scows_normal", F.col("total_scows_all") - F.col("total_scows_overtime"))
+    ).withColumn("normal_scows", F.col("total_scows_all") - F.col("overtime_scows"))
     overtime = F.when(
-        is_overtime, share(scows, F.col("total_scows_overtime"), F.col("overtime_tonnage"))
+        is_overtime, share(scows, F.col("overtime_scows"), F.col("overtime_tonnage"))
     ).otherwise(0.0)
     normal = F.when(
-        ~is_overtime, share(scows, F.col("total_scows_normal"), F.col("normal_tonnage"))
+        ~is_overtime, share(scows, F.col("normal_scows"), F.col("normal_tonnage"))
     ).otherwise(0.0)
     return (
         counted.join(bin_dispatch(cold_store, period), keys, "left")
-        .withColumn("allocated_overtime_tonnage", overtime)
-        .withColumn("allocated_normal_tonnage", normal)
+        .withColumn("overtime_part", overtime)
+        .withColumn("normal_part", normal)
         .withColumn(
             "allocated_total_tonnage",
-            F.col("allocated_overtime_tonnage") + F.col("allocated_normal_tonnage"),
+            F.col("overtime_part") + F.col("normal_part"),
         )
     )

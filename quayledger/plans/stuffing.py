@@ -132,5 +132,5 @@ def plugin_statement(
         F.col("date_out").alias("unplugged_date"),
         remarks.alias("remarks"),
         F.when(own_account, 0).otherwise(F.col("days")).alias("days_on_plug"),
-        F.when(own_account, 0).otherwise(charge).alias("invoice_value"),
+        F.when(own_account, 0).otherwise(charge).alias("line_value"),
     )

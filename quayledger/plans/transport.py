@@ -50,7 +50,7 @@ def shore_crane(crane_log: DataFrame, price: DataFrame, period: Period = None) -
         "location",
         "operation_type",
         "remarks",
-        "invoiced_to",
+        "charged_to",
         as_double(unit, 3).alias("unit_price"),
         as_double(weighted * F.col("price"), 3).alias("total_price"),
     )
@@ -126,7 +126,7 @@ def forklift(forklift_log: DataFrame, period: Period = None) -> DataFrame:
             "end_time",
             "duration",
             "customer",
-            "invoiced_in",
+            "charged_in",
             "service_type",
             at_150.alias("overtime_150"),
             at_200.alias("overtime_200"),

@@ -160,6 +160,7 @@ def stuffing_types(container_ops: DataFrame) -> DataFrame:
             "container_number",
             kind.alias("stuffing"),
         )
+        .filter(F.col("container_number").isNotNull() & F.col("date_plugged").isNotNull())
         .distinct()
     )
 
@@ -199,7 +200,9 @@ def net_list(
 
     The service of a container line comes from the container's next stuffing for
     the vessel, on or after the line's date. Lines and stuffings are already
-    distinct per day, so a container and vessel have few rows each.
+    distinct per day, so a container and vessel have few rows each. Every line
+    gives one row, so the list has the lines' tonnes; ``duplicate_stuffing``
+    lists the days with several stuffings of a container.
     """
     matched = asof_join(
         lines,
@@ -212,13 +215,17 @@ def net_list(
         direction="forward",
         bucket_seconds=None,
     )
-    same_day = stuffing.select(
-        F.col("container_number").alias("destination"),
-        F.col("date_plugged").alias("date"),
-        "vessel_client",
-        F.col("stuffing").alias("exact_stuffing"),
+    # Of a container's stuffings on the day the line's own vessel comes first, so a line stays one line.
+    day = [F.col("container_number").alias("destination"), F.col("date_plugged").alias("date")]
+    own = stuffing.groupBy(*day, F.col("vessel_client").alias("vessel")).agg(F.min("stuffing").alias("_own"))
+    any_ = stuffing.groupBy(*day).agg(F.min(F.struct("vessel_client", "stuffing")).alias("_any"))
+    listed = (
+        matched.join(own, ["destination", "date", "vessel"], "left")
+        .join(any_, ["destination", "date"], "left")
+        .withColumn("exact_stuffing", F.coalesce("_own", "_any.stuffing"))
+        .withColumn("vessel_client", F.when(F.col("_own").isNotNull(), F.col("vessel")).otherwise(F.col("_any.vessel_client")))
+        .drop("_own", "_any")
     )
-    listed = matched.join(same_day, ["destination", "date"], "left")
     listed = flag_listed(listed, F.col("destination"), owned, "container_number", "owned")
     listed = flag_listed(
         listed, F.upper("destination"), cargo_vessels, "vessel_client", "to_cargo"
@@ -238,7 +245,7 @@ def net_list(
         "total_tonnage",
         "service",
         "price",
-        as_double(F.col("price") * F.col("total_tonnage"), 3).alias("invoice_value"),
+        as_double(F.col("price") * F.col("total_tonnage"), 3).alias("line_value"),
         remarks.alias("remarks"),
     )
 
@@ -250,14 +257,14 @@ def oss_stuffing(net: DataFrame, price: DataFrame) -> DataFrame:
     ).otherwise("Stuffing")
     lines = (
         net.filter(F.col("service").contains("OSS"))
-        .drop("price", "invoice_value")
+        .drop("price", "line_value")
         .withColumn("vessel", F.coalesce("remarks", "vessel"))
     )
     unit = (F.col("price") * multiplier(F.col("overtime"))).cast(V.PRICE)
     return (
         with_price(lines, price, service)
         .withColumn("price", unit)
-        .withColumn("invoice_value", as_double(F.col("price") * F.col("total_tonnage"), 3))
+        .withColumn("line_value", as_double(F.col("price") * F.col("total_tonnage"), 3))
         .drop("remarks", "date")
     )
 

@@ -6,7 +6,8 @@ casts them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+import re
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ SCHEMAS = {
     "cross_stuffing": (
         "day string, vessel_client string, date date, origin string, destination string, "
         "start_time int, end_time int, total_tonnage string, overtime_tonnage string, "
-        "is_origin_empty string, service string, invoiced string"
+        "is_origin_empty string, service string, charged string"
     ),
     "by_catch_transfer": (
         "date date, movement_type string, customer string, vessel string, service string, "
@@ -42,7 +43,7 @@ SCHEMAS = {
     ),
     "cccs_stuffing": (
         "date date, container_number string, customer string, service string, "
-        "total_tonnage string, overtime_tonnage string, invoiced string"
+        "total_tonnage string, overtime_tonnage string, charged string"
     ),
     "container_ops": (
         "vessel_client string, customer string, date_plugged date, time_plugged int, "
@@ -55,23 +56,23 @@ SCHEMAS = {
         "remarks string"
     ),
     "container_shifting": (
-        "date date, container_number string, invoice_to string, service_remarks string"
+        "date date, container_number string, billed_to string, service_remarks string"
     ),
     "pti": (
         "datetime_start timestamp_ntz, datetime_end timestamp_ntz, container_number string, "
-        "set_point string, unit_manufacturer string, status string, invoice_to string, "
+        "set_point string, unit_manufacturer string, status string, billed_to string, "
         "plugged_on string"
     ),
-    "washing": "date date, container_number string, invoice_to string, service_remarks string",
+    "washing": "date date, container_number string, billed_to string, service_remarks string",
     "shore_crane": (
         "day string, date date, start_time int, end_time int, hours int, overtime_hours int, "
         "customer string, location string, operation_type string, remarks string, "
-        "invoiced_to string"
+        "charged_to string"
     ),
     "transfer": (
         "date date, container_number string, line string, movement_type string, driver string, "
         "origin string, time_out int, destination string, time_in int, status string, "
-        "type string, size string, remarks string, invoice_to string"
+        "type string, size string, remarks string, billed_to string"
     ),
     "scow_transfer": (
         "date date, container_number string, customer string, movement_type string, "
@@ -80,7 +81,7 @@ SCHEMAS = {
     ),
     "forklift": (
         "day string, date date, start_time int, end_time int, duration int, customer string, "
-        "invoiced_in string, service_type string"
+        "charged_in string, service_type string"
     ),
     "salt": (
         "date date, vessel string, customer string, start_time int, end_time int, "
@@ -97,7 +98,7 @@ SCHEMAS = {
     "report_status": (
         "vessel_client string, report_type string, start_date date, end_date string"
     ),
-    "invoice_status": (
+    "statement_register": (
         "month string, sub_type string, report_name string, customer string, "
         "starting_date date, ending_date date, report_type string"
     ),
@@ -141,6 +142,15 @@ HEADERS = {
     "bin_tipping": {"Date": "date", "Customer": "customer",
                     "IOT Scows (Tipping)": "scows_tipped", "Tonnage Tipped": "tonnage_tipped",
                     "Overtime": "overtime"},
+    "berth": {"VESSEL NAME": "vessel", "DATE IN": "date_in", "TIME IN": "time_in",
+              "DATE OUT": "date_out", "TIME OUT": "time_out", "DISCOUNT": "discount",
+              "VESSEL TYPE": "vessel_type"},
+    "activity": {"DATE": "date", "VESSEL NAME": "vessel", "TOTAL TONNAGE": "total_tonnage"},
+    "gate_in": {"Date": "date", "Type": "type", "Unit Manufacturer": "unit_manufacturer",
+                "Container Number": "container_number"},
+    "pti_log": {"Date Plugin": "date_plugin", "Container Number": "container_number",
+                "Set Point": "set_point", "Unit Manufacturer": "unit_manufacturer",
+                "Shipping Line": "shipping_line"},
 }
 
 
@@ -158,7 +168,7 @@ LISTED = {
     "pti": {
         "set_point": V.SET_POINTS,
         "status": V.PTI_STATUSES,
-        "invoice_to": V.PTI_INVOICE_TO,
+        "billed_to": V.PTI_PAYERS,
     },
     "shore_crane": {"day": V.DAY_NAMES},
     "transfer": {
@@ -187,17 +197,44 @@ def split_listed_rows(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
 
 
 class Inputs(Mapping[str, DataFrame]):
-    """Tables by name, read on first use from ``root/<name>`` with their fixed schema."""
+    """Tables by name, read on first use from ``root/<name>``, by column name and never by place.
 
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", suffix: str = ""):
+    A file's columns may stand in any order and carry the sheet's headers. A missing column, or one that
+    neither the schema nor ``extra`` (more columns by table, left out) names, is an error. ``unlisted``
+    tells what happens to rows off a column's list: "keep" them, "fail" the query, or "drop" them from
+    the table, when ``refused`` gives them with the columns at fault.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        fmt: str = "parquet",
+        suffix: str = "",
+        unlisted: str = "keep",
+        extra: Mapping[str, Sequence[str]] | None = None,
+    ):
+        if unlisted not in ("keep", "fail", "drop"):
+            raise ValueError(f"unlisted: {unlisted}")
         self._spark, self._root, self._fmt, self._suffix = spark, root, fmt, suffix
+        self._unlisted, self._extra = unlisted, extra or {}
 
-    def __getitem__(self, name: str) -> DataFrame:
-        reader = self._spark.read.schema(SCHEMAS[name])
+    def _read(self, name: str) -> DataFrame:
         path = f"{self._root}/{name}{self._suffix}"
+        reader = self._spark.read
         if self._fmt == "csv":
-            return reader.option("header", True).option("enforceSchema", True).csv(path)
-        return reader.format(self._fmt).load(path)
+            reader = reader.option("header", True)
+        return with_schema(reader.format(self._fmt).load(path), name, self._extra.get(name, ()))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        df = self._read(name)
+        if self._unlisted == "fail":
+            return require_listed(df, name)
+        return split_listed_rows(df, name)[0] if self._unlisted == "drop" else df
+
+    def refused(self, name: str) -> DataFrame:
+        """Rows of a table that are off their lists, with the columns at fault."""
+        return split_listed_rows(self._read(name), name)[1]
 
     def __iter__(self) -> Iterator[str]:
         return iter(SCHEMAS)
@@ -209,3 +246,13 @@ class Inputs(Mapping[str, DataFrame]):
 def with_sheet_headers(df: DataFrame, name: str) -> DataFrame:
     """Rename the headers of an exported sheet to the names used here."""
     return df.withColumnsRenamed(HEADERS.get(name, {}))
+
+
+def with_schema(df: DataFrame, name: str, extra: Sequence[str] = ()) -> DataFrame:
+    """The table's columns by name, renamed from sheet headers and cast; an error on a missing or unknown one."""
+    df = with_sheet_headers(df, name)
+    columns = dict(c.strip().rsplit(" ", 1) for c in re.split(r",\s*(?![^()]*\))", SCHEMAS[name]))
+    missing, unknown = set(columns) - set(df.columns), set(df.columns) - set(columns) - set(extra)
+    if missing or unknown or len(set(df.columns)) < len(df.columns):
+        raise ValueError(f"{name}: missing {sorted(missing)}, unknown {sorted(unknown)}, of {df.columns}")
+    return df.select(*[F.col(c).cast(kind).alias(c) for c, kind in columns.items()])

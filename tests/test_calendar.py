@@ -44,6 +44,12 @@ def test_day_names(spark):
     assert out == {date(2025, 12, 25): "PH", date(2025, 12, 28): "Sun", date(2025, 12, 29): "Mon", None: None}
 
 
+def test_holidays_of_any_year(spark):
+    spine = cal.date_spine(spark, date(1850, 1, 1), date(2250, 12, 31))
+    computed = {r.date for r in spine.filter(cal.is_public_holiday("date")).collect()}
+    assert computed == holidays(spark, 1850, 2250)
+
+
 def test_week_table_of_a_year(spark):
     spine = cal.date_spine(spark, date(2025, 1, 1), date(2025, 12, 31))
     assert spine.count() == 365

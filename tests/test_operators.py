@@ -65,12 +65,16 @@ def test_fallback_lookup_takes_the_finest_level(spark):
 
 
 def test_three_way_keeps_the_tonnage(spark):
-    one = spark.createDataFrame([("a", 5), ("b", 7), ("c", 4)], "k string, t int")
-    two = spark.createDataFrame([("b", 2), ("c", 4), ("d", 9)], "k string, t int")
-    out = reconcile.three_way(one, two, ["k"], ["t"], "t")
-    assert sorted(map(tuple, out.collect())) == [("a", 5), ("b", 2), ("b", 5), ("c", 4), ("d", 9)]
-    total = out.agg(F.sum("t")).collect()[0][0]
-    assert total == 5 + 7 + 4 + 9
+    rows = [("a", "x", "5.000"), ("b", "x", "7.000"), ("b", "y", "3.000"), ("c", "x", "4.000"), ("e", "x", "0.000"), ("e", "y", "0.000")]
+    kinds = "k string, s string, t string"
+    one = spark.createDataFrame(rows, kinds).withColumn("t", F.col("t").cast("decimal(18,3)"))
+    more = [("b", "x", "2.000"), ("b", "z", "1.001"), ("c", "x", "4.000"), ("d", "x", "9.000"), ("e", "x", "1.001")]
+    two = spark.createDataFrame(more, kinds).withColumn("t", F.col("t").cast("decimal(18,3)"))
+    out = reconcile.three_way(one, two, ["k"], ["t"], ["s"])
+    sums = {r.k: str(r.t) for r in out.groupBy("k").agg(F.sum("t").alias("t")).collect()}
+    assert sums == {"a": "5.000", "b": "10.000", "c": "4.000", "d": "9.000", "e": "0.000"}
+    left = sorted((r.k, r.s, str(r.t)) for r in out.exceptAll(two).collect())
+    assert left == [("a", "x", "5.000"), ("b", "x", "4.899"), ("b", "y", "2.100"), ("e", "x", "-0.501"), ("e", "y", "-0.500")]
 
 
 def test_difference_report(spark):

@@ -96,7 +96,7 @@ def test_net_list_service(spark, destination, day, expected):
                             ["Unload to Quay", "Transhipment", "Unload to CCCS", "Full OSS", "Basic OSS"]])
     (row,) = unloading.net_list(lines, kinds, owned, cargo, price).collect()
     assert row.service == expected
-    assert row.invoice_value == (12.0 if expected else None)
+    assert row.line_value == (12.0 if expected else None)
     assert row.remarks == ("OCEAN BASKET" if destination == "BASIC" else None)
 
 
@@ -142,7 +142,7 @@ def test_plugin_statement(spark):
             ("V1", "IOT", "Full", -60, "LML"), ("V1", "X", "Full", -18, "Yard"), ("V2", "X", "Full", -18, "Yard")])
     ]
     out = stuffing.plugin_statement(table(spark, "container_ops", rows), " v1 ", MON, SUN).orderBy("container_number")
-    assert [(r.days_on_plug, r.invoice_value, r.remarks) for r in out.collect()] == [
+    assert [(r.days_on_plug, r.line_value, r.remarks) for r in out.collect()] == [
         (6, 445, ""), (7, 730, "Exchange of Hands"), (0, 0, "On the account of IOT"), (7, 55, "Yard")]
 
 
@@ -172,11 +172,11 @@ def test_forklift_statement(spark):
     lifts = transport.forklift(table(spark, "forklift", [
         ("Mon", MON, 60000, 64800, 0, "A", "STO", "x"), ("Sun", SUN, 56000, 57600, 0, "A", "STO", "x"),
         ("Sun", SUN, 57000, 58200, 0, "A", "Vessel", "x"), ("Mon", MON, 0, 600, 0, "A", "STO", "Gangway")]))
-    out = {(r.customer, r.invoiced_in): r for r in berth.forklift_statement(status, lifts).collect()}
+    out = {(r.customer, r.charged_in): r for r in berth.forklift_statement(status, lifts).collect()}
     assert set(out) == {("A", "STO"), ("A", "Vessel"), ("B", None)}
     sto = out["A", "STO"]
-    assert (sto.min_150, sto.min_200, sto.min_normal) == (60, 0, 46)
-    assert (sto.hhmm_150, sto.hhmm_normal, sto.billed_hrs_normal, sto.amount_150) == ("01:00", "00:46", 1, 45)
+    assert (sto.minutes_at_150, sto.minutes_at_200, sto.minutes_at_normal) == (60, 0, 46)
+    assert (sto.time_at_150, sto.time_at_normal, sto.hours_at_normal, sto.due_at_150) == ("01:00", "00:46", 1, 45)
     assert out["B", None].min_normal == 0
 
 

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from quayledger.plans import registry
 from quayledger.sources import sinks
@@ -65,6 +66,34 @@ def test_sheet_headers_are_renamed(spark):
     assert with_sheet_headers(df, "pti").columns == df.columns
 
 
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_columns_are_read_by_name(spark, tmp_path, fmt):
+    price = DerivedInputs(spark, SF_DIR)["price"]
+    sheet = price.select(
+        F.col("class").alias("Class"), F.col("date").alias("StartingDate"), F.col("price").alias("Price"),
+        F.col("end_date").alias("EndingDate"), F.col("service").alias("Service"), F.lit("x").alias("Note"),
+    )
+    sheet.write.option("header", True).format(fmt).save(f"{tmp_path}/price")
+    got = Inputs(spark, str(tmp_path), fmt, extra={"price": ["Note"]})["price"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, price.select(got.columns).collect()))
+    with pytest.raises(ValueError, match="unknown ..Note"):
+        Inputs(spark, str(tmp_path), fmt)["price"]
+    sheet.drop("Price", "Note").write.option("header", True).format(fmt).save(f"{tmp_path}/less/price")
+    with pytest.raises(ValueError, match="missing ..price"):
+        Inputs(spark, f"{tmp_path}/less", fmt)["price"]
+
+
+def test_rows_off_their_lists(spark, tmp_path):
+    transfer = DerivedInputs(spark, SF_DIR)["transfer"].limit(20)
+    transfer.withColumn("status", F.when(F.col("status") == "Full", "Half").otherwise(F.col("status"))).write.parquet(f"{tmp_path}/transfer")
+    halves = transfer.filter("status = 'Full'").count()
+    kept = Inputs(spark, str(tmp_path), unlisted="drop")
+    assert kept["transfer"].count() == 20 - halves and kept.refused("transfer").count() == halves
+    assert Inputs(spark, str(tmp_path))["transfer"].count() == 20
+    with pytest.raises(Exception, match="not a listed name: Half"):
+        Inputs(spark, str(tmp_path), unlisted="fail")["transfer"].collect()
+
+
 def test_group_is_saved_and_failures_are_recorded(spark, tmp_path):
     derived = DerivedInputs(spark, SF_DIR)
 

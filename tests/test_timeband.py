@@ -97,8 +97,6 @@ def test_hhmm(spark):
     df = spark.createDataFrame([(0,), (59,), (60,), (3599,), (86399,), (360000,)], "s long")
     out = [r[0] for r in df.select(tb.hhmm(F.col("s"))).collect()]
     assert out == ["00:00", "00:00", "00:01", "00:59", "23:59", "100:00"]
-    minutes = [r[0] for r in df.select(tb.statement_hhmm(F.col("s"))).collect()]
-    assert minutes[:4] == ["00:00", "00:59", "01:00", "59:59"]
 
 
 def test_valid_span(spark):
