@@ -320,6 +320,13 @@ def net_list_month(t: DerivedInputs) -> DataFrame:
     return both.groupBy("month", "service").agg(F.count(F.lit(1)).alias("lines"), F.sum("total_tonnage").alias("tonnage"))
 
 
+def net_list_difference(t: DerivedInputs) -> DataFrame:
+    """Days and vessels on which the two net lists differ in tonnes."""
+    return difference_report(
+        registry.build("net_list", t), registry.net_list_from_readings(t), ["date", "vessel"], "total_tonnage"
+    )
+
+
 def tonnage_columns(t: DerivedInputs) -> DataFrame:
     """Sums of all columns of the cold-store log that hold tonnes, found by name."""
     log = t["cold_store"]
@@ -353,6 +360,8 @@ DERIVED_QUERIES: dict[str, Query] = {
     "century_day_labels": century_day_labels,
     "orders_by_day": orders_by_day,
     "net_list_month": net_list_month,
+    "net_list_from_readings": registry.net_list_from_readings,
+    "net_list_difference": net_list_difference,
     "tonnage_columns": tonnage_columns,
     "class_prices": class_prices,
     "bycatch_balance": bycatch_balance,

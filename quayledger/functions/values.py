@@ -53,6 +53,8 @@ DARDANEL_DISCOUNT = "4.000"
 DARDANEL_TRUCK_DISCOUNT = "1.000"
 DARDANEL_CARGO_DISCOUNT = "3.000"
 REEFER_FOR_IOT = (date(2025, 11, 3), date(2025, 11, 15))
+# The same terms in the list over the scale readings.
+REEFER_FOR_IOT_READINGS = (date(2025, 11, 3), date(2025, 11, 19))
 IOT_CARGO_START = date(2025, 11, 1)
 CRANE_WEEKDAY_INCREASE_START = date(2026, 1, 1)
 CRANE_SPECIAL_INCREASE_START = date(2026, 3, 1)

@@ -15,15 +15,23 @@ Tables = Mapping[str, DataFrame]
 
 
 def landed_lines(t: Tables) -> DataFrame:
-    """All landed lines: port and cold store, the latter scaled to the official tonnes."""
+    """All landed lines: the summary sheet's outside the cold store, and the cold-store readings
+    under the sheet's own day and label, scaled to the official tonnes."""
+    readings = unloading.sheet_readings(t["unloading_raw"])
+    records = unloading.cold_store_records(t["cold_store"])
+    port = unloading.unloading_lines(t["unloading_summary"])
+    return port.unionByName(unloading.adjusted_cold_store(readings, records, by_sheet_day=True))
+
+
+def landed_readings(t: Tables) -> DataFrame:
+    """All landed lines from the scale readings, labelled by the clock."""
     groups = unloading.reading_groups(unloading.classified_readings(t["unloading_raw"]))
     return unloading.settled_lines(groups, unloading.cold_store_records(t["cold_store"]))
 
 
-def _net_list(t: Tables) -> DataFrame:
-    """The net list over the summed scale readings."""
-    return unloading.net_list(
-        landed_lines(t),
+def _listed(t: Tables, lines: DataFrame, make: Callable[..., DataFrame]) -> DataFrame:
+    return make(
+        lines,
         unloading.stuffing_types(t["container_ops"]),
         owned_containers(t["transfer"]),
         clients_of_type(t["client"], "CARGO"),
@@ -31,6 +39,16 @@ def _net_list(t: Tables) -> DataFrame:
     )
 
 
+def _net_list(t: Tables) -> DataFrame:
+    """The net list over the summary sheet and the sheet-labelled cold-store readings."""
+    return _listed(t, landed_lines(t), unloading.net_list)
+
+
+def net_list_from_readings(t: Tables) -> DataFrame:
+    """The net list over the scale readings."""
+    return _listed(t, landed_readings(t), unloading.net_list_from_readings)
+
+
 def _by_catch(t: Tables) -> DataFrame:
     return cold_store.by_catch(
         t["cold_store"],

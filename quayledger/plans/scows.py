@@ -161,10 +161,10 @@ def allocate_scows(
         trips,
         keys,
         {
-            "total_scows_all": scows,
+            "all_scows": scows,
             "overtime_scows": F.when(is_overtime, scows).otherwise(0),
         },
-    ).withColumn("normal_scows", F.col("total_scows_all") - F.col("overtime_scows"))
+    ).withColumn("normal_scows", F.col("all_scows") - F.col("overtime_scows"))
     overtime = F.when(
         is_overtime, share(scows, F.col("overtime_scows"), F.col("overtime_tonnage"))
     ).otherwise(0.0)
@@ -176,7 +176,7 @@ def allocate_scows(
         .withColumn("overtime_part", overtime)
         .withColumn("normal_part", normal)
         .withColumn(
-            "allocated_total_tonnage",
+            "shared_tonnage",
             F.col("overtime_part") + F.col("normal_part"),
         )
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import values as V
@@ -50,6 +50,20 @@ def classified_readings(unloading_raw: DataFrame, period: Period = None) -> Data
     )
 
 
+def sheet_readings(unloading_raw: DataFrame, period: Period = None) -> DataFrame:
+    """Scale readings in tonnes with the day name and overtime label written on the sheet."""
+    return unloading_raw.filter(in_range(F.col("date"), period)).select(
+        F.col("day").alias("day_name"),
+        kilos_to_tonnes(F.col("scale_reading")).alias("tonnage"),
+        F.col("storage").alias("storage_type"),
+        "date",
+        "time",
+        "destination",
+        F.upper("vessel").alias("vessel"),
+        "overtime",
+    )
+
+
 def operations_log(unloading_raw: DataFrame, period: Period = None) -> DataFrame:
     """Typed scale readings as kept by the operations department."""
     return unloading_raw.filter(in_range(F.col("date"), period)).select(
@@ -110,13 +124,15 @@ def cold_store_records(cold_store: DataFrame, period: Period = None) -> DataFram
     )
 
 
-def settled_lines(groups: DataFrame, records: DataFrame) -> DataFrame:
+def settled_lines(groups: DataFrame, records: DataFrame, by_sheet_day: bool = False) -> DataFrame:
     """Reading groups with the cold-store ones scaled to the official tonnes.
 
     A cold-store reading counts ``official / readings of its group`` of its own
     weight. All readings of a group share that factor, so the group's sum is
     its part of the official record: no window over the readings is needed, and
-    one aggregation of the readings serves both kinds of destination.
+    one aggregation of the readings serves both kinds of destination. A day
+    written on the sheet may differ between readings of one date; with
+    ``by_sheet_day`` its groups (a handful a label) share the record by weight.
     """
     takes_normal = (is_special(F.col("day_name")) & (F.col("overtime") == V.OVERTIME_150)) | (
         F.col("overtime") == V.NORMAL
@@ -124,6 +140,10 @@ def settled_lines(groups: DataFrame, records: DataFrame) -> DataFrame:
     official = F.when(
         takes_normal, F.col("official_tonnage") - F.col("official_overtime")
     ).otherwise(F.col("official_overtime"))
+    if by_sheet_day:
+        label = Window.partitionBy("date", "vessel", "destination", "overtime", "storage_type")
+        groups = groups.withColumn("_all", F.sum("total_tonnage").over(label))
+        official = official.cast("double") * F.col("total_tonnage").cast("double") / F.nullif(F.col("_all").cast("double"), F.lit(0.0))
     adjusted = F.when(F.col("total_tonnage") != 0, official.cast(TONNES))
     return (
         groups.join(records, ["date", "destination", "vessel", "storage_type"], "left")
@@ -137,10 +157,10 @@ def settled_lines(groups: DataFrame, records: DataFrame) -> DataFrame:
     )
 
 
-def adjusted_cold_store(classified: DataFrame, records: DataFrame) -> DataFrame:
+def adjusted_cold_store(classified: DataFrame, records: DataFrame, by_sheet_day: bool = False) -> DataFrame:
     """The cold-store lines alone."""
     groups = reading_groups(classified.filter(F.col("destination").contains("CCCS")))
-    return settled_lines(groups, records)
+    return settled_lines(groups, records, by_sheet_day)
 
 
 def stuffing_types(container_ops: DataFrame) -> DataFrame:
@@ -165,7 +185,7 @@ def stuffing_types(container_ops: DataFrame) -> DataFrame:
     )
 
 
-def _service(reefer_for_iot: tuple[date, date]) -> Column:
+def _service(reefer_for_iot: tuple[date, date], fallback: Column) -> Column:
     """Service of a net-list line; the first rule that holds decides."""
     destination, day = F.col("destination"), F.col("date")
     to_quay = (
@@ -176,64 +196,57 @@ def _service(reefer_for_iot: tuple[date, date]) -> Column:
         | (F.col("owned") & (F.col("customer") == "IOT"))
     )
     return (
-        F.when(
-            (F.col("exact_stuffing") == "Basic OSS")
-            & F.col("vessel_client").isin("OCEAN BASKET", "AMIRANTE"),
-            F.col("exact_stuffing"),
-        )
-        .when(to_quay, "Unload to Quay")
+        F.when(to_quay, "Unload to Quay")
         .when(F.col("to_cargo"), "Transhipment")
         .when(destination.contains("CCCS"), "Unload to CCCS")
-        .otherwise(F.col("stuffing"))
+        .otherwise(fallback)
     )
 
 
-def net_list(
-    lines: DataFrame,
-    stuffing: DataFrame,
-    owned: DataFrame,
-    cargo_vessels: DataFrame,
-    price: DataFrame,
-    reefer_for_iot: tuple[date, date] = V.REEFER_FOR_IOT,
-) -> DataFrame:
-    """The net list: every unloading line with its service and price.
+def _with_stuffing(lines: DataFrame, stuffing: DataFrame, same_day: DataFrame) -> DataFrame:
+    """Lines with their container's next stuffing for the vessel, and one stuffing of the day itself.
 
-    The service of a container line comes from the container's next stuffing for
-    the vessel, on or after the line's date. Lines and stuffings are already
-    distinct per day, so a container and vessel have few rows each. Every line
-    gives one row, so the list has the lines' tonnes; ``duplicate_stuffing``
-    lists the days with several stuffings of a container.
+    Only lines to a container that was ever stuffed carry its number as a key; the many lines to
+    other places have a null key, so no destination gathers them. Of a container's stuffings on the
+    day the line's own vessel comes first: every line stays one line with its tonnes, and
+    ``duplicate_stuffing`` lists the days with several.
     """
+    lines = flag_listed(lines, F.col("destination"), stuffing, "container_number", "_stuffed")
     matched = asof_join(
-        lines,
+        lines.withColumn("_container", F.when(F.col("_stuffed"), F.col("destination"))),
         stuffing,
         "date",
-        ["destination", "vessel"],
+        ["_container", "vessel"],
         ["customer", "stuffing"],
         right_on="date_plugged",
         right_by=["container_number", "vessel_client"],
         direction="forward",
         bucket_seconds=None,
     )
-    # Of a container's stuffings on the day the line's own vessel comes first, so a line stays one line.
-    day = [F.col("container_number").alias("destination"), F.col("date_plugged").alias("date")]
-    own = stuffing.groupBy(*day, F.col("vessel_client").alias("vessel")).agg(F.min("stuffing").alias("_own"))
-    any_ = stuffing.groupBy(*day).agg(F.min(F.struct("vessel_client", "stuffing")).alias("_any"))
-    listed = (
-        matched.join(own, ["destination", "date", "vessel"], "left")
-        .join(any_, ["destination", "date"], "left")
+    day = [F.col("container_number").alias("_container"), F.col("date_plugged").alias("date")]
+    own = same_day.groupBy(*day, F.col("vessel_client").alias("vessel")).agg(F.min("stuffing").alias("_own"))
+    any_ = same_day.groupBy(*day).agg(F.min(F.struct("vessel_client", "stuffing")).alias("_any"))
+    is_own = F.col("_own").isNotNull()
+    return (
+        matched.join(own, ["_container", "date", "vessel"], "left")
+        .join(any_, ["_container", "date"], "left")
         .withColumn("exact_stuffing", F.coalesce("_own", "_any.stuffing"))
-        .withColumn("vessel_client", F.when(F.col("_own").isNotNull(), F.col("vessel")).otherwise(F.col("_any.vessel_client")))
-        .drop("_own", "_any")
+        .withColumn("vessel_client", F.when(is_own, F.col("vessel")).otherwise(F.col("_any.vessel_client")))
+        .drop("_own", "_any", "_container", "_stuffed")
     )
+
+
+def _priced(
+    listed: DataFrame, owned: DataFrame, cargo_vessels: DataFrame, price: DataFrame, service: Column, remarks: Column
+) -> DataFrame:
     listed = flag_listed(listed, F.col("destination"), owned, "container_number", "owned")
     listed = flag_listed(
         listed, F.upper("destination"), cargo_vessels, "vessel_client", "to_cargo"
     )
-    listed = listed.withColumn("service", _service(reefer_for_iot))
-    priced = with_price(listed, price, F.concat("service", F.lit(" - "), "storage_type"))
+    priced = with_price(
+        listed.withColumn("service", service), price, F.concat("service", F.lit(" - "), "storage_type")
+    )
     unit = (F.col("price") * multiplier(F.col("overtime"))).cast(V.PRICE)
-    remarks = F.when(F.col("vessel_client") != F.col("vessel"), F.col("vessel_client"))
     return priced.withColumn("price", unit).select(
         "date",
         "vessel",
@@ -250,6 +263,45 @@ def net_list(
     )
 
 
+def net_list(
+    lines: DataFrame,
+    stuffing: DataFrame,
+    owned: DataFrame,
+    cargo_vessels: DataFrame,
+    price: DataFrame,
+    reefer_for_iot: tuple[date, date] = V.REEFER_FOR_IOT,
+) -> DataFrame:
+    """The net list: every landed line with its service and price.
+
+    The service of a container line comes from the container's next stuffing for
+    the vessel, on or after the line's date. A Basic OSS of the day by a by-catch
+    client comes before the other rules.
+    """
+    listed = _with_stuffing(lines, stuffing, stuffing)
+    basic = (F.col("exact_stuffing") == "Basic OSS") & F.col("vessel_client").isin("OCEAN BASKET", "AMIRANTE")
+    service = F.when(basic, F.col("exact_stuffing")).otherwise(_service(reefer_for_iot, F.col("stuffing")))
+    remarks = F.when(F.col("vessel_client") != F.col("vessel"), F.col("vessel_client"))
+    return _priced(listed, owned, cargo_vessels, price, service, remarks)
+
+
+def net_list_from_readings(
+    lines: DataFrame,
+    stuffing: DataFrame,
+    owned: DataFrame,
+    cargo_vessels: DataFrame,
+    price: DataFrame,
+    reefer_for_iot: tuple[date, date] = V.REEFER_FOR_IOT_READINGS,
+) -> DataFrame:
+    """The net list over lines labelled by the clock, with that list's own rules.
+
+    A container without a next stuffing takes the by-catch companies' stuffing of
+    the day, whose client is the remark.
+    """
+    listed = _with_stuffing(lines, stuffing, stuffing.filter(F.col("vessel_client").isin(V.BY_CATCH_COMPANIES)))
+    service = _service(reefer_for_iot, F.coalesce("stuffing", "exact_stuffing"))
+    return _priced(listed, owned, cargo_vessels, price, service, F.col("vessel_client"))
+
+
 def oss_stuffing(net: DataFrame, price: DataFrame) -> DataFrame:
     """Lines stuffed on a shipping line's account, at the stuffing price."""
     service = F.when(

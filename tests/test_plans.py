@@ -204,8 +204,8 @@ def test_scow_allocation_keeps_the_tonnage(spark):
     store = table(spark, "cold_store", [
         ("Mon", MON, "OUT", "X", "", "V", "Dry", "Bin Dispatch to IOT", "-12.5", "", "", "", "4.5")])
     out = scows.allocate_scows(table(spark, "scow_transfer", trips), store)
-    assert sorted(r.allocated_total_tonnage for r in out.collect()) == [0, 2, 4.5, 6]
-    assert out.agg(F.sum("allocated_total_tonnage")).collect()[0][0] == 12.5
+    assert sorted(r.shared_tonnage for r in out.collect()) == [0, 2, 4.5, 6]
+    assert out.agg(F.sum("shared_tonnage")).collect()[0][0] == 12.5
 
 
 def test_salt_by_service(spark):
