@@ -48,12 +48,21 @@ def roll_up_periods(
         .agg(*[F.sum(source).alias(name) for name, source in sums.items()])
         .withColumn("_bucket", _bucket(F.col("_day")))
     )
+    # Only buckets between a key's first and last service, however far a period reaches.
+    served = daily.groupBy(*[F.col(k).alias(f"{k}_of") for k in keys]).agg(
+        F.min("_bucket").alias("_least"), F.max("_bucket").alias("_most")
+    )
+    begins = F.greatest(_bucket(F.col(start)), F.col("_least"))
+    ends = F.least(_bucket(F.col(end)), F.col("_most"))
     touched = F.when(
-        F.col(end) >= F.col(start), F.sequence(_bucket(F.col(start)), _bucket(F.col(end)))
+        F.col("_least").isNotNull() & (F.col(end) >= F.col(start)) & (ends >= begins), F.sequence(begins, ends)
     )
     # Equal periods are rolled up once and repeated at the end.
     counted = periods.groupBy(*periods.columns).agg(F.count(F.lit(1)).alias("_times"))
-    spread = counted.withColumn("_touched", F.explode_outer(touched))
+    of_key = F.lit(True)
+    for (p, _), k in zip(by, keys):
+        of_key = of_key & (F.col(p) == F.col(f"{k}_of"))
+    spread = counted.join(served, of_key, "left").withColumn("_touched", F.explode_outer(touched))
     same = F.col("_touched") == F.col("_bucket")
     for (p, _), k in zip(by, keys):
         same = same & (F.col(p) == F.col(k))

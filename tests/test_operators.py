@@ -91,6 +91,8 @@ def test_roll_up_periods_matches_brute_force(spark, kinds):
     for i in range(60):
         first = START + timedelta(days=rng.randrange(200))
         periods.append((i, pick(), first, first + timedelta(days=rng.randrange(-2, 70)) if rng.random() > 0.1 else None))
+    periods += [(60, "hot", START, date(9999, 12, 31)), (61, "a", date(1, 1, 1), date(9999, 12, 31))]
+    periods.append(periods[-1])  # equal periods give as many rows
     services = [(pick(), START + timedelta(days=rng.randrange(220)), rng.choice("xy"), rng.randrange(1, 9)) for _ in range(300)]
     extra = ["kind"] if kinds else []
     out = rollup.roll_up_periods(
@@ -107,6 +109,7 @@ def test_roll_up_periods_matches_brute_force(spark, kinds):
             mine = [x for x in hits if not kinds or x[2] == g]
             expected[i, g] = (sum(x[3] for x in mine) if mine else None, len({x[1] for x in mine}))
     assert {(r.id, r.kind if kinds else None): (r.t, r.days) for r in out} == expected
+    assert len(out) == len(expected) + sum(i == 61 for i, _ in expected)
 
 
 def test_history_before_and_earlier_rows(spark):

@@ -177,7 +177,7 @@ def test_forklift_statement(spark):
     sto = out["A", "STO"]
     assert (sto.minutes_at_150, sto.minutes_at_200, sto.minutes_at_normal) == (60, 0, 46)
     assert (sto.time_at_150, sto.time_at_normal, sto.hours_at_normal, sto.due_at_150) == ("01:00", "00:46", 1, 45)
-    assert out["B", None].min_normal == 0
+    assert out["B", None].minutes_at_normal == 0
 
 
 def test_shore_crane_increase(spark):
