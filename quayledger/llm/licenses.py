@@ -101,3 +101,33 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict
         joined(F.when(F.col("base"), F.col("label"))).alias("base_labels"), joined(F.col("label")).alias("labels"), F.max("share").alias("score"),
     )
     return out.drop("row")
+
+
+def scan_sql(phrases: dict[str, str] | None = None, templates: dict[str, str] | None = None) -> str:
+    """The same rows in DuckDB's SQL, over the view `documents`."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    listed = [(t, n, "TRUE") for t, n in (PHRASES if phrases is None else phrases).items()] + [(t, n, "FALSE") for n, t in (TEMPLATES if templates is None else templates).items()]
+    rows = ", ".join(f"({k}, {quoted(t)}, {quoted(n)}, {b})" for k, (t, n, b) in enumerate(listed))
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    words = lambda c: f"regexp_extract_all(translate(coalesce({c}, ''), '{upper}', '{upper.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words("text")} AS w FROM documents),
+    t AS (SELECT k, label, base, {words("phrase")} AS w FROM (VALUES {rows}) p(k, phrase, label, base)),
+    tg AS (SELECT k, label, base, need, i - 1 AS spot, w[i] || ' ' || w[i + 1] AS gram
+           FROM (SELECT *, len(w) - 1 AS need, unnest(range(1, len(w))) AS i FROM t)),
+    dg AS (SELECT r, i - 1 AS place, w[i] || ' ' || w[i + 1] AS gram FROM (SELECT *, unnest(range(1, len(w))) AS i FROM d)),
+    v AS (SELECT r, k, label, base, need, spot, place - spot AS diagonal FROM dg JOIN tg USING (gram)),
+    lines AS (SELECT r, k, label, base, need, diagonal, count(DISTINCT spot) AS met FROM v GROUP BY ALL),
+    places AS (SELECT r, label, diagonal AS start FROM lines WHERE base AND met = need),
+    apart AS (SELECT r, k, diagonal, sum(CASE WHEN gap <= {NEAR} THEN 0 ELSE 1 END) OVER (PARTITION BY r, k ORDER BY diagonal) AS span
+              FROM (SELECT r, k, diagonal, diagonal - lag(diagonal) OVER (PARTITION BY r, k ORDER BY diagonal) AS gap
+                    FROM lines WHERE NOT base)),
+    spans AS (SELECT r, label, count(DISTINCT spot) / CAST(need AS DOUBLE) AS share FROM v JOIN apart USING (r, k, diagonal)
+              GROUP BY r, k, label, need, span HAVING count(DISTINCT spot) >= {SHARE} * need),
+    found AS (SELECT r, label, TRUE AS base, start, 1.0::DOUBLE AS share FROM places
+              UNION ALL SELECT r, label, FALSE, NULL, share FROM spans)
+    SELECT doc_id, CAST(len(any_value(w)) AS BIGINT) AS n_words, count(start) AS n_base, CAST(min(start) AS BIGINT) AS first_word,
+           CAST(max(start) AS BIGINT) AS last_word, coalesce(string_agg(DISTINCT CASE WHEN base THEN label END, ',' ORDER BY CASE WHEN base THEN label END), '') AS base_labels,
+           coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels, coalesce(max(share), 0)::DOUBLE AS score
+    FROM d LEFT JOIN found USING (r) GROUP BY r, doc_id
+    """

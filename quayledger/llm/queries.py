@@ -70,4 +70,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def llm_oracle() -> dict[str, str]:
     """The same results in DuckDB's SQL where it can express them."""
-    return {"op5_chat_texts": chat.CHAT_SQL}
+    return {"op3_license_scan": licenses.scan_sql(), "op5_chat_texts": chat.CHAT_SQL}

@@ -67,6 +67,13 @@ def test_licenses(spark, odd, none):
     assert licenses.scan(none).collect() == []
 
 
+def test_licenses_of_the_table_are_those_of_the_sql(spark):
+    duckdb.sql(f"create or replace view documents as select * from '{SF}/documents.parquet'")
+    rel = duckdb.sql(licenses.scan_sql())
+    got = licenses.scan(spark.read.parquet(f"{SF}/documents.parquet")).select(*rel.columns)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, rel.fetchall()))
+
+
 def test_license_texts_with_edits(spark):
     words = licenses.TEMPLATES["mit-text"].split()
     edited = [w for k, w in enumerate(words) if k not in (20, 45)]
