@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayledger.llm.shared import ship, slices, texts_of
+from quayledger.llm.shared import Workspace, sent_if_small, ship, slices, texts_of
 from quayledger.llm.words import MARKS, mixed, words_of
 
 #: Least similarity: 1 less the edit distance in words over the item's words.
@@ -204,7 +204,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     return best.select("doc_id", "item_id", F.col("m.start").alias("start"), F.col("m.words").alias("words"), F.col("m.edits").alias("edits"))
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, ws: Workspace, **options) -> DataFrame:
     """The rows of docs that hold no benchmark item; a row of a null doc_id stays."""
-    gone = leaks(docs, benchmark, **options).select(F.col("doc_id").alias("leaking")).distinct()
+    gone = ws.save(leaks(docs, benchmark, **options).select(F.col("doc_id").alias("leaking")).distinct(), "leaking")
+    gone = sent_if_small(gone, gone.count())
     return docs.join(gone, docs["doc_id"].cast("long") == gone["leaking"], "left_anti")

@@ -66,6 +66,16 @@ class Workspace:
                 target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Rows of a side that is sent to all executors, about 16 bytes each; a larger side is shuffled like any.
+MOST_SENT = 1_000_000
+
+
+def sent_if_small(side: DataFrame, rows: int, most: int = MOST_SENT) -> DataFrame:
+    """The side of a join with a broadcast hint if it has at most `most` rows (as counted by the caller), so that whole texts
+    need no shuffle; else as it is."""
+    return F.broadcast(side) if rows <= most else side
+
+
 def texts_of(docs: DataFrame) -> DataFrame:
     """doc_id as long and whole text, null texts empty; columns of other names are left behind."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

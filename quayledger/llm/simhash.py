@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quayledger.llm.shared import Workspace, components, forest, grouped, ranges, slices, texts_of
+from quayledger.llm.shared import Workspace, components, forest, grouped, ranges, sent_if_small, slices, texts_of
 
 #: Differing bits of a link, and the segments of a fingerprint that stand in a ring.
 MOST_BITS, SEGMENTS = 3, 4
@@ -144,7 +144,8 @@ def one_of_each(docs: DataFrame, ws: Workspace, words: int = 3) -> DataFrame:
     """The rows of docs that name their group: one document of each stays, and one row of a repeated doc_id, that of the smallest
     text hash. A row of a null doc_id stays."""
     groups = ws.save(near_duplicates(docs, ws, words).select("doc_id", "component_id"), "groups")
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    gone = ws.save(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    gone = sent_if_small(gone, gone.count())
     stays = docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
     repeated = ws.save(groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("again")), "repeated")
     if repeated.isEmpty():

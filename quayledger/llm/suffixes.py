@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayledger.llm.shared import Workspace, grouped, ranges, slices, texts_of
+from quayledger.llm.shared import Workspace, grouped, ranges, sent_if_small, slices, texts_of
 from quayledger.llm.words import runs, words_of
 
 #: Words of a passage that counts, words of the gram that chooses positions, and positions of which one is chosen.
@@ -178,7 +178,8 @@ def repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
     found = ws.save(found, "places")
     shared = ws.save(found.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select(F.col("key").alias("of")), "shared")
     places = found.join(shared, F.col("key") == F.col("of"), "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("place", "key")).alias("at"))
-    places = places.select(F.col("doc_id").alias("of"), F.col("at.place").alias("places"), F.col("at.key").alias("keys"))
+    places = ws.save(places.select(F.col("doc_id").alias("of"), F.col("at.place").alias("places"), F.col("at.key").alias("keys")), "places")
+    places = sent_if_small(places, places.agg(F.coalesce(F.sum(F.size("places")), F.lit(0))).first()[0])
     around = texts.join(places, F.col("doc_id") == F.col("of")).select("doc_id", "text", "places", "keys")
     suffixes = ws.save(around.mapInArrow(_contexts, "key long, right binary, left binary, doc_id long, place int"), "suffixes")
     ws.drop(found, shared)
@@ -195,10 +196,11 @@ def cut_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
 
     A passage goes from its first word up to the next word that stays. Other columns stay as they are, but for n_chars, the
     text's length, where it is there. Rows without such a passage, and rows of a null doc_id, are untouched."""
-    spans = repeats(docs, ws).where("not kept").groupBy("doc_id").agg(F.collect_list(F.struct("start", "words")).alias("s"))
+    spans = ws.save(repeats(docs, ws).where("not kept").groupBy("doc_id").agg(F.collect_list(F.struct("start", "words")).alias("s")), "cuts")
+    many = spans.agg(F.coalesce(F.sum(F.size("s")), F.lit(0))).first()[0]
     taken = {c.lower() for c in docs.columns}
     of, cut = (next(n for n in (f"{x}_{k}" for k in range(len(taken) + 1)) if n not in taken) for x in ("of", "cut"))
-    spans = spans.select(F.col("doc_id").alias(of), F.col("s").alias(cut))
+    spans = sent_if_small(spans.select(F.col("doc_id").alias(of), F.col("s").alias(cut)), many)
     joined = docs.join(spans, F.col("doc_id").cast("long") == F.col(of), "left").drop(of)
     text, cuts = joined.columns.index("text"), joined.columns.index(cut)
     chars = joined.columns.index("n_chars") if "n_chars" in joined.columns else None

@@ -171,7 +171,7 @@ def least_edits(item, words):
     return min(row)
 
 
-def test_leaks(spark, odd, none):
+def test_leaks(spark, odd, none, ws):
     docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
     benchmark = {r["item_id"]: words(r["text"]) for r in items.collect()}
@@ -187,7 +187,7 @@ def test_leaks(spark, odd, none):
     odd_items = spark.createDataFrame([(1, None), (2, ""), (None, "a row without an id"), (3, "Plain text, of one document with several words"), (4, "word")], "item_id long, text string")
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(odd, odd_items).collect()}
     assert found == {(1, 3), (2, 3), (-13, 3), (10, 4)}
-    kept = decontaminate.without_leaks(odd, odd_items)
+    kept = decontaminate.without_leaks(odd, odd_items, ws)
     assert kept.columns == odd.columns and {r["doc_id"] for r in kept.collect()} == {r[0] for r in odd_rows()} - {1, 2, -13, 10}
     assert decontaminate.leaks(none, items).collect() == [] and decontaminate.leaks(odd, odd_items.limit(0)).collect() == []
 
