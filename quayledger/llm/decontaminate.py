@@ -78,7 +78,7 @@ class Items:
             if n := len(x):
                 e = edits(n, similarity)
                 rarest = sorted(x.tolist(), key=lambda w: (spread[w], w))
-                m = min(n, max(e + 1, (n + e) // 2))
+                m = min(n, max(e + 1, n // 3))
                 picked = set(rarest[:m])
                 self.need[k], self.wide[k] = sum(w in picked for w in x.tolist()) - e, n + e
                 posts += [(w, k) for w in picked]
