@@ -8,7 +8,7 @@ from array import array
 from codecs import charmap_decode
 
 #: Words kept in a worker's cache before it starts anew.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
 
 #: Latin letters, a full stop or comma after them: their split is known without running it.
 COMMON = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
