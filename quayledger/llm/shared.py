@@ -81,7 +81,7 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 8 << 20) -> Iterator[tuple[list, list[bytes]]]:
+def slices(batches: Iterator[pa.RecordBatch], most_bytes: int = 2 << 20) -> Iterator[tuple[list, list[bytes]]]:
     """(ids, texts as UTF-8 bytes) of a frame (id, text), in runs of at most most_bytes or one text."""
     for batch in batches:
         ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
