@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayledger.llm.shared import Workspace, grouped, ranges, sent_if_small, slices, texts_of
-from quayledger.llm.words import runs, words_of
+from quayledger.llm.words import BASE, mixed, runs, words_of
 
 #: Words of a passage that counts, words of the gram that chooses positions, and positions of which one is chosen.
 LEAST, GRAM, WINDOW = 50, 4, 25
@@ -100,12 +100,47 @@ def _nearest(docs: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return above, np.where(below >= 0, len(docs) - 1 - below, -1)
 
 
+def _windows(keys: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the windows of LEAST words that begin 0 to AROUND words left of each position, and which of them the text has."""
+    powers = np.multiply.accumulate(np.full(AROUND, BASE))
+    sums, there = [], []
+    for words in (left, right):
+        sums.append(np.pad(np.cumsum(words.astype(np.uint64) * powers, axis=1, dtype=np.uint64), ((0, 0), (1, 0))))
+        there.append(np.pad(words != 0, ((0, 0), (1, 0)), constant_values=True))
+    return mixed(mixed(sums[0] + keys.view(np.uint64)[:, None]) + sums[1][:, ::-1]), there[0] & there[1][:, ::-1]
+
+
+def _extremes(hashes: np.ndarray, there: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each window the smallest and the largest doc_id of the rows that have it; where there is none, the row's own."""
+    by_doc = np.argsort(docs, kind="stable")
+    i, offset = np.nonzero(there[by_doc])
+    i = by_doc[i]
+    order = np.argsort(hashes[i, offset], kind="stable")
+    i, offset = i[order], offset[order]
+    least, most = np.repeat(docs[:, None], there.shape[1], 1), np.repeat(docs[:, None], there.shape[1], 1)
+    if len(i):
+        h = hashes[i, offset]
+        at = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        sizes = np.diff(np.append(at, len(h)))
+        least[i, offset] = np.repeat(docs[i[at]], sizes)
+        most[i, offset] = np.repeat(docs[i[at + sizes - 1]], sizes)
+    return least, most
+
+
+def _joined(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, first and last columns of the runs of set fields in each row."""
+    step = np.diff(np.pad(mask, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+    row, first = np.nonzero(step == 1)
+    return row, first, np.nonzero(step == -1)[1] - 1
+
+
 FOUND = "doc_id long, start int, words int, kept boolean, first_doc_id long, key long, right binary, left binary, place int"
 
 
 def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of sorted suffixes: the passages that a document shares with a neighbour of smaller doc_id, for both documents; and, with
-    start null, the ends and the smallest doc_id of each segment, by which segments of one class are compared later."""
+    """Of sorted suffixes: the passages that a document shares with a neighbour of smaller doc_id, for both documents; the windows
+    of LEAST words that it shares with any other row of the segment, whatever lies between; and, with start null, the ends and
+    the smallest doc_id of each segment, by which segments of one class are compared later."""
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("words", pa.int32()), ("kept", pa.bool_()), ("first_doc_id", pa.int64()), ("key", pa.int64()), ("right", pa.binary()), ("left", pa.binary()), ("place", pa.int32())])
     for table in _segments(batches):
         n = table.num_rows
@@ -115,6 +150,7 @@ def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, places = table["doc_id"].to_numpy(), table["place"].to_numpy().astype(np.int64)
         left, right = (np.frombuffer(b"".join(table[c].to_pylist()), ">u4").reshape(n, AROUND) for c in ("left", "right"))
         best, other, reach = np.zeros(n, np.int64), np.full(n, -1), np.zeros(n, np.int64)
+        offsets = np.arange(AROUND + 1)
         for near in _nearest(docs, first):
             i = np.flatnonzero(near >= 0)
             before = _equal(left[i], left[near[i]])
@@ -126,6 +162,14 @@ def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc = np.concatenate([docs[i], docs[j]])
         empty = pa.nulls(len(doc))
         yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(np.concatenate([places[i] - reach[i], places[j] - reach[i]]).astype(np.int32)), pa.array(np.tile(best[i], 2).astype(np.int32)), pa.array(np.repeat([False, True], len(i))), pa.array(np.tile(docs[j], 2))] + [empty.cast(t) for t in schema.types[5:]], schema=schema)
+        # Windows that a smaller document of the segment has and the neighbours didn't show, and those of the smallest document.
+        hashes, there = _windows(table["key"].to_numpy(), left, right)
+        least, most = _extremes(hashes, there, docs)
+        shown = (offsets <= reach[:, None]) & (AROUND - offsets <= (best - RIGHT - reach)[:, None])
+        for mask, kept in (((least < docs[:, None]) & ~shown, False), ((least == docs[:, None]) & (most > least), True)):
+            i, a, b = _joined(mask)
+            empty = pa.nulls(len(i))
+            yield pa.RecordBatch.from_arrays([pa.array(docs[i]), pa.array((places[i] - b).astype(np.int32)), pa.array((LEAST + b - a).astype(np.int32)), pa.array(np.full(len(i), kept)), pa.array(least[i, a])] + [empty.cast(t) for t in schema.types[5:]], schema=schema)
         # Classes that may go on in the segment before or after, in this task or another.
         ends = []
         for a, b in {(int(bounds[0]), int(bounds[1])), (int(bounds[-2]), int(bounds[-1]))}:
@@ -159,11 +203,13 @@ def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
     """doc_id, start, words, kept and first_doc_id of every passage of LEAST words or more that stands in several documents.
 
-    start and words count words between white space. kept is true where no document of smaller doc_id has the passage next to
-    it in suffix order; the others may be cut out, first_doc_id names a document that has it too. Copies of a whole text are
+    start and words count words between white space. kept is true where a document of larger doc_id has been found to have the
+    passage, false where one of smaller doc_id has it; those may be cut out, first_doc_id names a document that has it too. Copies of a whole text are
     one text in the search, named by the smallest doc_id, and each copy is one passage. Suffixes are dealt by ranges of
     (class, words to the right, words to the left, document), so a passage in a third of the documents is split; the ends of
-    the parts are compared in a second, small pass. Passages are verified by 32-bit hashes of 50 words, after a 64-bit hash of 26.
+    the parts are compared in a second, small pass. Neighbours show most passages whole; what unrelated rows part is found by
+    grouping the windows of LEAST words around each position of a class by 64-bit hashes. Words are told apart by a 64-bit hash
+    of 26 and 32-bit hashes of the others.
 
     Null and short texts have no passage; a null doc_id can't be named and is left out; rows of one doc_id count as one
     document, its passages by each row's own words; an empty table gives no rows."""

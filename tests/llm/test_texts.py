@@ -207,3 +207,23 @@ def test_recall_of_edited_items(share, recall):
         texts.append(" ".join([*rng.choices(vocabulary, k=30), *w, *rng.choices(vocabulary, k=30)]).encode())
     found = {(t, i) for t, i, *_ in index.matches(texts)}
     assert sum((k, k) in found for k in range(len(items))) >= recall * len(items)
+
+
+def behind_frequent_text(frequent, seed):
+    """Pairs of documents that share 60 - frequent words and the frequent text after them, among documents that have the latter alone."""
+    rng = random.Random(seed)
+    word = lambda: f"u{rng.randrange(10**6)}"
+    text = [word() for _ in range(frequent)]
+    rows = []
+    for k in range(60):
+        own = [word() for _ in range(60 - frequent)]
+        rows += [[word() for _ in range(10)] + own + text + [word() for _ in range(30)] for _ in range(2)]
+    rows += [[word() for _ in range(30)] + text + [word() for _ in range(30)] for _ in range(400)]
+    return [(d, " ".join(w)) for d, w in zip(rng.sample(range(10**6), len(rows)), rows)]
+
+
+@pytest.mark.parametrize("frequent", [32, 40, 48])
+def test_short_runs_before_frequent_text(spark, ws, frequent):
+    rows = behind_frequent_text(frequent, frequent)
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    assert spans(suffixes.repeats(df, ws)) == brute_repeats(rows)
