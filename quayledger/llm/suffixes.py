@@ -139,8 +139,9 @@ FOUND = "doc_id long, start int, words int, kept boolean, first_doc_id long, key
 
 def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of sorted suffixes: the passages that a document shares with a neighbour of smaller doc_id, for both documents; the windows
-    of LEAST words that it shares with any other row of the segment, whatever lies between; and, with start null, the ends and
-    the smallest doc_id of each segment, by which segments of one class are compared later."""
+    of LEAST words that it shares with any other row of the segment, whatever lies between. For the classes that may go on in
+    another segment: with kept null, the windows that no smaller document of this segment has, key their hash; and, with start
+    null, the ends and the smallest doc_id of each segment, compared once more."""
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("words", pa.int32()), ("kept", pa.bool_()), ("first_doc_id", pa.int64()), ("key", pa.int64()), ("right", pa.binary()), ("left", pa.binary()), ("place", pa.int32())])
     for table in _segments(batches):
         n = table.num_rows
@@ -171,9 +172,14 @@ def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             empty = pa.nulls(len(i))
             yield pa.RecordBatch.from_arrays([pa.array(docs[i]), pa.array((places[i] - b).astype(np.int32)), pa.array((LEAST + b - a).astype(np.int32)), pa.array(np.full(len(i), kept)), pa.array(least[i, a])] + [empty.cast(t) for t in schema.types[5:]], schema=schema)
         # Classes that may go on in the segment before or after, in this task or another.
-        ends = []
+        ends, open_ = [], np.zeros((n, 1), bool)
         for a, b in {(int(bounds[0]), int(bounds[1])), (int(bounds[-2]), int(bounds[-1]))}:
             ends += [a, b - 1, a + int(docs[a:b].argmin())]
+            open_[a:b] = True
+        i, offset = np.nonzero(open_ & there & (least == docs[:, None]))
+        empty = pa.nulls(len(i))
+        columns = {"doc_id": pa.array(docs[i]), "start": pa.array((places[i] - offset).astype(np.int32)), "words": pa.array(np.full(len(i), LEAST, np.int32)), "key": pa.array(hashes[i, offset].view(np.int64))}
+        yield pa.RecordBatch.from_arrays([columns.get(f.name, empty.cast(f.type)) for f in schema], schema=schema)
         rows = table.take(pa.array(sorted(set(ends))))
         nothing = pa.nulls(rows.num_rows)
         yield pa.RecordBatch.from_arrays([rows["doc_id"].combine_chunks(), nothing.cast(pa.int32()), nothing.cast(pa.int32()), nothing.cast(pa.bool_()), nothing.cast(pa.int64()), *(rows[c].combine_chunks() for c in ("key", "right", "left", "place"))], schema=schema)
@@ -208,8 +214,8 @@ def repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
     one text in the search, named by the smallest doc_id, and each copy is one passage. Suffixes are dealt by ranges of
     (class, words to the right, words to the left, document), so a passage in a third of the documents is split; the ends of
     the parts are compared in a second, small pass. Neighbours show most passages whole; what unrelated rows part is found by
-    grouping the windows of LEAST words around each position of a class by 64-bit hashes. Words are told apart by a 64-bit hash
-    of 26 and 32-bit hashes of the others.
+    grouping the windows of LEAST words around each position of a class by 64-bit hashes, in each part first, then over the
+    parts that a class may lie in. Words are told apart by a 64-bit hash of 26 and 32-bit hashes of the others.
 
     Null and short texts have no passage; a null doc_id can't be named and is left out; rows of one doc_id count as one
     document, its passages by each row's own words; an empty table gives no rows."""
@@ -233,7 +239,12 @@ def repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
     passages = ws.save(suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(compared, FOUND), "passages")
     ends = passages.where("start is null").select(*order).distinct()
     again = ends.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(compared, FOUND)
-    spans = passages.unionByName(again).where("start is not null").select("doc_id", "start", "words", "kept", "first_doc_id").unionByName(whole).distinct()
+    # Each segment sends a window of its open classes for its smallest document alone, so no window is hot.
+    windows = passages.where("kept is null and start is not null").select("key", "doc_id", "start", "words")
+    several = windows.groupBy("key").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).where("first_doc_id <> last").drop("last")
+    across = windows.join(several, "key").withColumn("kept", F.col("doc_id") == F.col("first_doc_id"))
+    columns = ["doc_id", "start", "words", "kept", "first_doc_id"]
+    spans = passages.unionByName(again).where("kept is not null").select(*columns).unionByName(across.select(*columns)).unionByName(whole).distinct()
     return spans.repartition("doc_id").sortWithinPartitions("doc_id", "kept", "start").mapInArrow(_merged, "doc_id long, start int, words int, kept boolean, first_doc_id long")
 
 

@@ -227,3 +227,34 @@ def test_short_runs_before_frequent_text(spark, ws, frequent):
     rows = behind_frequent_text(frequent, frequent)
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
     assert spans(suffixes.repeats(df, ws)) == brute_repeats(rows)
+
+
+def test_a_class_in_many_parts(spark, ws):
+    rng = random.Random(4)
+    words = lambda n: [f"u{rng.randrange(10**6)}" for _ in range(n)]
+    frequent, before, after = words(36), [words(20) for _ in range(6)], [words(20) for _ in range(6)]
+    rows = [(d, " ".join(words(10) + rng.choice([*before, words(20)]) + frequent + rng.choice([*after, words(20)]) + words(10))) for d in rng.sample(range(10**6), 80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        got = spans(suffixes.repeats(df, ws))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == brute_repeats(rows)
+
+
+def test_passages_of_one_class_across_a_segment_edge():
+    kinds = suffixes.pa.schema([("key", suffixes.pa.int64()), ("right", suffixes.pa.binary()), ("left", suffixes.pa.binary()), ("doc_id", suffixes.pa.int64()), ("place", suffixes.pa.int32())])
+    around = lambda *w: b"".join(x.to_bytes(4, "big") for x in [*w, *range(1000 + w[-1], 1000 + w[-1] + suffixes.AROUND - len(w))])
+    own = list(range(1, 25))
+    parts = [[(5, 1), (33, 2)], [(50, 3), (17, 4), (60, 5), (9, 6), (1, None)]]
+    found = []
+    for part in parts:
+        rows = [{"key": 1, "right": around(100 + (k or 7)), "left": around(*own) if k else around(99), "doc_id": d, "place": 30} for d, k in part]
+        found += [r for b in suffixes.compared(suffixes.pa.Table.from_pylist(rows, kinds).to_batches()) for r in b.to_pylist()]
+    assert {r["doc_id"] for r in found if r["kept"] is False} == {33, 50, 17, 60}
+    sent = defaultdict(set)
+    for r in found:
+        if r["kept"] is None and r["start"] is not None:
+            sent[r["key"], r["start"]].add(r["doc_id"])
+    assert {5, 9} in sent.values()
