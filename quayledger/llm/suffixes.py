@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayledger.llm.shared import Workspace, grouped, ranges, sent_if_small, slices, texts_of
@@ -41,23 +41,25 @@ def minimisers(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.unique(chosen)
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, place and class of every chosen position with RIGHT words at least; the class hashes those words."""
+def candidates(texts: DataFrame) -> DataFrame:
+    """doc_id, which, place and class of every chosen position with RIGHT words at least; the class hashes those words."""
 
     def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in slices(batches, 1 << 20):
+        for rows, texts in slices(batches, 1 << 20):
+            ids, which = ([r[c] for r in rows] for c in ("doc_id", "which"))
             hashes, _, _, starts = words_of(texts)
             at = minimisers(hashes, starts)
             text = np.searchsorted(starts, at, "right") - 1
             whole = at + RIGHT <= starts[text + 1]
             at, text = at[whole], text[whole]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()).take(pa.array(text)), pa.array((at - starts[text]).astype(np.int32)), pa.array(runs(hashes, at, at + RIGHT).view(np.int64))], names=["doc_id", "place", "key"])
+            rows = (pa.array(x, pa.int64()).take(pa.array(text)) for x in (ids, which))
+            yield pa.RecordBatch.from_arrays([*rows, pa.array((at - starts[text]).astype(np.int32)), pa.array(runs(hashes, at, at + RIGHT).view(np.int64))], names=["doc_id", "which", "place", "key"])
 
-    return texts_of(docs).where("doc_id is not null").mapInArrow(choose, "doc_id long, place int, key long")
+    return texts.select(F.struct("doc_id", "which").alias("row"), "text").mapInArrow(choose, "doc_id long, which long, place int, key long")
 
 
 def _contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (doc_id, text, places, keys): a row per place with the word hashes around it; zero beyond the text's ends."""
+    """Of (doc_id, text, places, keys, which): a row per place with the word hashes around it; zero beyond the text's ends."""
     for batch in batches:
         for k in range(batch.num_rows):
             hashes, *_ = words_of([batch.column(1)[k].as_buffer().to_pybytes()])
@@ -69,8 +71,8 @@ def _contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             right = padded[places[:, None] + AROUND + RIGHT + around]
             size = 4 * AROUND
             rows = [pa.array([x[a : a + size] for a in range(0, len(x), size)], pa.binary()) for x in (left.tobytes(), right.tobytes())]
-            doc = pa.array(np.full(len(places), batch.column(0)[k].as_py(), np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), rows[1], rows[0], doc, pa.array(places.astype(np.int32))], names=["key", "right", "left", "doc_id", "place"])
+            doc, which = (pa.array(np.full(len(places), batch.column(c)[k].as_py(), np.int64)) for c in (0, 4))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), rows[1], rows[0], doc, pa.array(places.astype(np.int32)), which], names=["key", "right", "left", "doc_id", "place", "which"])
 
 
 def _equal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -134,7 +136,7 @@ def _joined(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, first, np.nonzero(step == -1)[1] - 1
 
 
-FOUND = "doc_id long, start int, words int, kept boolean, first_doc_id long, key long, right binary, left binary, place int"
+FOUND = "doc_id long, start int, words int, kept boolean, first_doc_id long, key long, right binary, left binary, place int, which long"
 
 
 def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,13 +144,14 @@ def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     of LEAST words that it shares with any other row of the segment, whatever lies between. For the classes that may go on in
     another segment: with kept null, the windows that no smaller document of this segment has, key their hash; and, with start
     null, the ends and the smallest doc_id of each segment, compared once more."""
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("words", pa.int32()), ("kept", pa.bool_()), ("first_doc_id", pa.int64()), ("key", pa.int64()), ("right", pa.binary()), ("left", pa.binary()), ("place", pa.int32())])
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("words", pa.int32()), ("kept", pa.bool_()), ("first_doc_id", pa.int64()), ("key", pa.int64()), ("right", pa.binary()), ("left", pa.binary()), ("place", pa.int32()), ("which", pa.int64())])
     for table in _segments(batches):
         n = table.num_rows
         bounds = ranges(table, ["key"])
         first = np.zeros(n, bool)
         first[bounds[:-1]] = True
         docs, places = table["doc_id"].to_numpy(), table["place"].to_numpy().astype(np.int64)
+        which = table["which"].to_numpy() if "which" in table.column_names else np.zeros(n, np.int64)
         left, right = (np.frombuffer(b"".join(table[c].to_pylist()), ">u4").reshape(n, AROUND) for c in ("left", "right"))
         best, other, reach = np.zeros(n, np.int64), np.full(n, -1), np.zeros(n, np.int64)
         offsets = np.arange(AROUND + 1)
@@ -162,7 +165,7 @@ def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         j = other[i]
         doc = np.concatenate([docs[i], docs[j]])
         empty = pa.nulls(len(doc))
-        yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(np.concatenate([places[i] - reach[i], places[j] - reach[i]]).astype(np.int32)), pa.array(np.tile(best[i], 2).astype(np.int32)), pa.array(np.repeat([False, True], len(i))), pa.array(np.tile(docs[j], 2))] + [empty.cast(t) for t in schema.types[5:]], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(np.concatenate([places[i] - reach[i], places[j] - reach[i]]).astype(np.int32)), pa.array(np.tile(best[i], 2).astype(np.int32)), pa.array(np.repeat([False, True], len(i))), pa.array(np.tile(docs[j], 2))] + [empty.cast(t) for t in schema.types[5:-1]] + [pa.array(np.concatenate([which[i], which[j]]))], schema=schema)
         # Windows that a smaller document of the segment has and the neighbours didn't show, and those of the smallest document.
         hashes, there = _windows(table["key"].to_numpy(), left, right)
         least, most = _extremes(hashes, there, docs)
@@ -170,19 +173,29 @@ def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for mask, kept in (((least < docs[:, None]) & ~shown, False), ((least == docs[:, None]) & (most > least), True)):
             i, a, b = _joined(mask)
             empty = pa.nulls(len(i))
-            yield pa.RecordBatch.from_arrays([pa.array(docs[i]), pa.array((places[i] - b).astype(np.int32)), pa.array((LEAST + b - a).astype(np.int32)), pa.array(np.full(len(i), kept)), pa.array(least[i, a])] + [empty.cast(t) for t in schema.types[5:]], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(docs[i]), pa.array((places[i] - b).astype(np.int32)), pa.array((LEAST + b - a).astype(np.int32)), pa.array(np.full(len(i), kept)), pa.array(least[i, a])] + [empty.cast(t) for t in schema.types[5:-1]] + [pa.array(which[i])], schema=schema)
         # Classes that may go on in the segment before or after, in this task or another.
         ends, open_ = [], np.zeros((n, 1), bool)
         for a, b in {(int(bounds[0]), int(bounds[1])), (int(bounds[-2]), int(bounds[-1]))}:
             ends += [a, b - 1, a + int(docs[a:b].argmin())]
             open_[a:b] = True
         i, offset = np.nonzero(open_ & there & (least == docs[:, None]))
+        # The places of one window in one text that overlap or touch are one row, so a text of few words again and again is few rows.
+        start, h = places[i] - offset, hashes[i, offset]
+        by = np.lexsort((start, which[i], h))
+        i, start, h = i[by], start[by], h[by]
+        new = np.ones(len(i), bool)
+        new[1:] = (h[1:] != h[:-1]) | (which[i][1:] != which[i][:-1]) | (start[1:] > start[:-1] + LEAST)
+        at = np.flatnonzero(new)
+        words = start[np.append(at[1:], len(i)) - 1] - start[at] + LEAST if len(at) else start
+        i = i[at]
         empty = pa.nulls(len(i))
-        columns = {"doc_id": pa.array(docs[i]), "start": pa.array((places[i] - offset).astype(np.int32)), "words": pa.array(np.full(len(i), LEAST, np.int32)), "key": pa.array(hashes[i, offset].view(np.int64))}
+        columns = {"doc_id": pa.array(docs[i]), "start": pa.array(start[at].astype(np.int32)), "words": pa.array(words.astype(np.int32)), "key": pa.array(h[at].view(np.int64)), "which": pa.array(which[i])}
         yield pa.RecordBatch.from_arrays([columns.get(f.name, empty.cast(f.type)) for f in schema], schema=schema)
-        rows = table.take(pa.array(sorted(set(ends))))
+        ends = sorted(set(ends))
+        rows = table.take(pa.array(ends))
         nothing = pa.nulls(rows.num_rows)
-        yield pa.RecordBatch.from_arrays([rows["doc_id"].combine_chunks(), nothing.cast(pa.int32()), nothing.cast(pa.int32()), nothing.cast(pa.bool_()), nothing.cast(pa.int64()), *(rows[c].combine_chunks() for c in ("key", "right", "left", "place"))], schema=schema)
+        yield pa.RecordBatch.from_arrays([rows["doc_id"].combine_chunks(), nothing.cast(pa.int32()), nothing.cast(pa.int32()), nothing.cast(pa.bool_()), nothing.cast(pa.int64()), *(rows[c].combine_chunks() for c in ("key", "right", "left", "place")), pa.array(which[ends])], schema=schema)
 
 
 def _segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -192,9 +205,9 @@ def _segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Overlapping and touching passages of one document and kind as one; rows come sorted by doc_id, kept and start."""
-    for table in grouped(batches, ["doc_id", "kept"]):
-        bounds = ranges(table, ["doc_id", "kept"])
+    """Overlapping and touching passages of one text and kind as one; rows come sorted by doc_id, which, kept and start."""
+    for table in grouped(batches, ["doc_id", "which", "kept"]):
+        bounds = ranges(table, ["doc_id", "which", "kept"])
         start, words, first = (table[c].to_numpy().astype(np.int64) for c in ("start", "words", "first_doc_id"))
         group = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         wide = int((start + words).max()) + 2
@@ -203,7 +216,7 @@ def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[1:] = (start + group * wide)[1:] > end[:-1]
         at = np.flatnonzero(new)
         last = end[np.append(at[1:], len(start)) - 1] - group[at] * wide
-        yield pa.RecordBatch.from_arrays([table["doc_id"].take(pa.array(at)).combine_chunks(), pa.array(start[at].astype(np.int32)), pa.array((last - start[at]).astype(np.int32)), table["kept"].take(pa.array(at)).combine_chunks(), pa.array(np.minimum.reduceat(first, at))], names=["doc_id", "start", "words", "kept", "first_doc_id"])
+        yield pa.RecordBatch.from_arrays([table["doc_id"].take(pa.array(at)).combine_chunks(), pa.array(start[at].astype(np.int32)), pa.array((last - start[at]).astype(np.int32)), table["kept"].take(pa.array(at)).combine_chunks(), pa.array(np.minimum.reduceat(first, at)), table["which"].take(pa.array(at)).combine_chunks()], names=["doc_id", "start", "words", "kept", "first_doc_id", "which"])
 
 
 def repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
@@ -219,33 +232,48 @@ def repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
 
     Null and short texts have no passage; a null doc_id can't be named and is left out; rows of one doc_id count as one
     document, its passages by each row's own words; an empty table gives no rows."""
+    return _spans(docs, ws).drop("which")
+
+
+def _spans(docs: DataFrame, ws: Workspace) -> DataFrame:
+    """The rows of `repeats`, and which of an id's texts each stands in: zero, or a text's hash where an id has several."""
     texts = texts_of(docs).where("doc_id is not null")
     marks = ws.save(texts.select("doc_id", F.xxhash64("text").alias("x"), F.xxhash64(F.lit(1), "text").alias("y"), F.regexp_count("text", F.lit(r"[^\x09-\x0D\x20]+")).alias("words")), "marks")
+    several = ws.save(marks.groupBy("doc_id").agg(F.min("x").alias("x"), F.max("x").alias("y")).where("x <> y").select(F.col("doc_id").alias("of")), "several")
+    many = several.count()
+
+    def told_apart(rows: DataFrame, x: Column) -> DataFrame:
+        if not many:
+            return rows.withColumn("which", F.lit(0).cast("long"))
+        joined = rows.join(sent_if_small(several, many), F.col("doc_id") == F.col("of"), "left")
+        return joined.withColumn("which", F.when(F.col("of").isNull(), F.lit(0)).otherwise(x)).drop("of")
+
+    marks, texts = told_apart(marks, F.col("x")), told_apart(texts, F.xxhash64("text"))
     groups = marks.where(F.col("words") >= LEAST).groupBy("x", "y").agg(F.min("doc_id").alias("first_doc_id"), F.count_distinct("doc_id").alias("copies"))
     groups = ws.save(groups.where("copies > 1").drop("copies"), "copies")
-    copies = ws.save(marks.join(groups, ["x", "y"]).select("doc_id", "words", "first_doc_id").distinct(), "copied")
-    whole = copies.select("doc_id", F.lit(0).alias("start"), "words", (F.col("doc_id") == F.col("first_doc_id")).alias("kept"), "first_doc_id")
-    later = copies.where("doc_id <> first_doc_id").select("doc_id").distinct()
-    found = candidates(docs).join(later, "doc_id", "left_anti").distinct()
+    copies = ws.save(marks.join(groups, ["x", "y"]).select("doc_id", "which", "words", "first_doc_id").distinct(), "copied")
+    whole = copies.select("doc_id", F.lit(0).alias("start"), "words", (F.col("doc_id") == F.col("first_doc_id")).alias("kept"), "first_doc_id", "which")
+    later = copies.where("doc_id <> first_doc_id").select("doc_id", "which").distinct()
+    found = candidates(texts).join(later, ["doc_id", "which"], "left_anti").distinct()
     found = ws.save(found, "places")
     shared = ws.save(found.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select(F.col("key").alias("of")), "shared")
-    places = found.join(shared, F.col("key") == F.col("of"), "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("place", "key")).alias("at"))
-    places = ws.save(places.select(F.col("doc_id").alias("of"), F.col("at.place").alias("places"), F.col("at.key").alias("keys")), "places")
+    places = found.join(shared, F.col("key") == F.col("of"), "left_semi").groupBy("doc_id", "which").agg(F.collect_list(F.struct("place", "key")).alias("at"))
+    places = ws.save(places.select(F.col("doc_id").alias("of"), F.col("which").alias("of_which"), F.col("at.place").alias("places"), F.col("at.key").alias("keys")), "places")
     places = sent_if_small(places, places.agg(F.coalesce(F.sum(F.size("places")), F.lit(0))).first()[0])
-    around = texts.join(places, F.col("doc_id") == F.col("of")).select("doc_id", "text", "places", "keys")
-    suffixes = ws.save(around.mapInArrow(_contexts, "key long, right binary, left binary, doc_id long, place int"), "suffixes")
+    around = texts.join(places, (F.col("doc_id") == F.col("of")) & (F.col("which") == F.col("of_which"))).select("doc_id", "text", "places", "keys", "which")
+    suffixes = ws.save(around.mapInArrow(_contexts, "key long, right binary, left binary, doc_id long, place int, which long"), "suffixes")
     ws.drop(found, shared)
-    order = ["key", "right", "left", "doc_id", "place"]
+    order = ["key", "right", "left", "doc_id", "place", "which"]
     passages = ws.save(suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(compared, FOUND), "passages")
     ends = passages.where("start is null").select(*order).distinct()
     again = ends.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(compared, FOUND)
     # Each segment sends a window of its open classes for its smallest document alone, so no window is hot.
-    windows = passages.where("kept is null and start is not null").select("key", "doc_id", "start", "words")
+    windows = passages.where("kept is null and start is not null").select("key", "doc_id", "start", "words", "which")
     several = windows.groupBy("key").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last")).where("first_doc_id <> last").drop("last")
     across = windows.join(several, "key").withColumn("kept", F.col("doc_id") == F.col("first_doc_id"))
-    columns = ["doc_id", "start", "words", "kept", "first_doc_id"]
+    columns = ["doc_id", "start", "words", "kept", "first_doc_id", "which"]
     spans = passages.unionByName(again).where("kept is not null").select(*columns).unionByName(across.select(*columns)).unionByName(whole).distinct()
-    return spans.repartition("doc_id").sortWithinPartitions("doc_id", "kept", "start").mapInArrow(_merged, "doc_id long, start int, words int, kept boolean, first_doc_id long")
+    return spans.repartition("doc_id").sortWithinPartitions("doc_id", "which", "kept", "start").mapInArrow(_merged, "doc_id long, start int, words int, kept boolean, first_doc_id long, which long")
 
 
 def cut_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
@@ -253,12 +281,14 @@ def cut_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
 
     A passage goes from its first word up to the next word that stays. Other columns stay as they are, but for n_chars, the
     text's length, where it is there. Rows without such a passage, and rows of a null doc_id, are untouched."""
-    spans = ws.save(repeats(docs, ws).where("not kept").groupBy("doc_id").agg(F.collect_list(F.struct("start", "words")).alias("s")), "cuts")
+    spans = ws.save(_spans(docs, ws).where("not kept").groupBy("doc_id", "which").agg(F.collect_list(F.struct("start", "words")).alias("s")), "cuts")
     many = spans.agg(F.coalesce(F.sum(F.size("s")), F.lit(0))).first()[0]
     taken = {c.lower() for c in docs.columns}
-    of, cut = (next(n for n in (f"{x}_{k}" for k in range(len(taken) + 1)) if n not in taken) for x in ("of", "cut"))
-    spans = sent_if_small(spans.select(F.col("doc_id").alias(of), F.col("s").alias(cut)), many)
-    joined = docs.join(spans, F.col("doc_id").cast("long") == F.col(of), "left").drop(of)
+    of, which, cut = (next(n for n in (f"{x}_{k}" for k in range(len(taken) + 1)) if n not in taken) for x in ("of", "which", "cut"))
+    spans = sent_if_small(spans.select(F.col("doc_id").alias(of), F.col("which").alias(which), F.col("s").alias(cut)), many)
+    # A null text has no passage, so its hash isn't asked for; an id of one text has which 0.
+    same = (F.col(which) == 0) | (F.col(which) == F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    joined = docs.join(spans, (F.col("doc_id").cast("long") == F.col(of)) & same, "left").drop(of, which)
     text, cuts = joined.columns.index("text"), joined.columns.index(cut)
     chars = joined.columns.index("n_chars") if "n_chars" in joined.columns else None
 

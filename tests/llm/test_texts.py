@@ -258,3 +258,24 @@ def test_passages_of_one_class_across_a_segment_edge():
         if r["kept"] is None and r["start"] is not None:
             sent[r["key"], r["start"]].add(r["doc_id"])
     assert {5, 9} in sent.values()
+
+
+def test_rows_of_one_id_keep_their_own_passages(spark, ws):
+    rng = random.Random(6)
+    words = lambda n: [f"u{rng.randrange(10**6)}" for _ in range(n)]
+    text, passage = words(80), words(60)
+    own = [*words(100), *passage, *words(20)]
+    rows = [(1, " ".join(text)), (14, " ".join(text)), (14, " ".join(own)), (14, " ".join(own)), (3, " ".join([*words(5), *passage, *words(5)])), (15, None), (15, " ".join(passage))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert spans(suffixes.repeats(df, ws)) == brute_repeats(rows)
+    got = sorted((r["doc_id"], r["text"] or "") for r in suffixes.cut_repeats(df, ws).collect())
+    assert got == sorted([rows[0], (14, " ".join([*own[:100], *own[160:]])), (14, " ".join([*own[:100], *own[160:]])), rows[4], (15, "")])
+
+
+def test_one_word_again_and_again_in_an_open_class_is_few_rows():
+    kinds = suffixes.pa.schema([("key", suffixes.pa.int64()), ("right", suffixes.pa.binary()), ("left", suffixes.pa.binary()), ("doc_id", suffixes.pa.int64()), ("place", suffixes.pa.int32())])
+    around = b"\1" * 4 * suffixes.AROUND
+    rows = [{"key": 1, "right": around, "left": around, "doc_id": 5, "place": k} for k in range(30, 1030)]
+    found = [r for b in suffixes.compared(suffixes.pa.Table.from_pylist(rows, kinds).to_batches()) for r in b.to_pylist() if r["kept"] is None and r["start"] is not None]
+    assert len(found) == suffixes.AROUND + 1
+    assert {(r["start"], r["words"]) for r in found} == {(30 - o, 999 + suffixes.LEAST) for o in range(suffixes.AROUND + 1)}
