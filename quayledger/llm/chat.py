@@ -27,13 +27,13 @@ def maximal(turns: DataFrame, part: int = PART) -> DataFrame:
     so it is added up by part and over the parts before: a conversation with a third of all turns is split. Beginnings
     are made distinct before the anti-join, so a first turn shared by most conversations is one row there."""
     rows = _turns(turns).withColumn("part", F.floor(F.col("turn") / part))
-    rows = rows.select("conv_id", "part", "turn", F.xxhash64("turn", "role", "text").alias("x"), F.xxhash64(F.lit(1), "text", "role", "turn").alias("y"))
+    rows = rows.select("conv_id", "part", "turn", "role", "text", F.xxhash64("turn", "role", "text").alias("x"), F.xxhash64(F.lit(1), "text", "role", "turn").alias("y"))
     parts = rows.groupBy("conv_id", "part").agg(F.count("*").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
     whole = parts.groupBy("conv_id").agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
     before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     shift = parts.select("conv_id", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"), F.coalesce(F.bit_xor("x").over(before), F.lit(0)).alias("x0"), F.coalesce(F.bit_xor("y").over(before), F.lit(0)).alias("y0"))
     # Lead also tells the last turn, which is no beginning of something longer.
-    within = Window.partitionBy("conv_id", "part").orderBy("turn", "x", "y")
+    within = Window.partitionBy("conv_id", "part").orderBy("turn", "role", "text", "x", "y")
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rolled = rows.select("conv_id", "part", F.row_number().over(within).cast("long").alias("n1"), F.bit_xor("x").over(so_far).alias("x1"), F.bit_xor("y").over(so_far).alias("y1"))
     begun = rolled.join(shift, ["conv_id", "part"]).select("conv_id", (F.col("n0") + F.col("n1")).alias("n"), F.col("x0").bitwiseXOR(F.col("x1")).alias("x"), F.col("y0").bitwiseXOR(F.col("y1")).alias("y"))

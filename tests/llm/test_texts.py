@@ -40,6 +40,17 @@ def test_chats(spark, part):
     assert chat.chat_texts(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("turn", [0, None])
+def test_chats_with_turns_of_one_number(spark, turn):
+    rng, rows = random.Random(11), []
+    for c in range(0, 120, 2):
+        role, *texts = rng.sample(["user", "tool"], 1) + sorted(f"{c} {rng.randrange(10**6)}" for _ in range(3))
+        added = texts.pop(rng.randrange(3))
+        rows += [(c, turn, role, x) for x in texts] + [(c + 1, turn, role, x) for x in [*texts, added]]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert sorted(tuple(r) for r in chat.chat_texts(df).collect()) == brute_chats(rows, 64)
+
+
 def test_chats_of_the_table_are_those_of_the_sql(spark):
     duckdb.sql(f"create or replace view conversations as select * from '{SF}/conversations.parquet'")
     assert sorted(tuple(r) for r in chat.chat_texts(spark.read.parquet(f"{SF}/conversations.parquet")).collect()) == sorted(map(tuple, duckdb.sql(chat.CHAT_SQL).fetchall()))
