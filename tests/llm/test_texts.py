@@ -290,3 +290,22 @@ def test_one_word_again_and_again_in_an_open_class_is_few_rows():
     found = [r for b in suffixes.compared(suffixes.pa.Table.from_pylist(rows, kinds).to_batches()) for r in b.to_pylist() if r["kept"] is None and r["start"] is not None]
     assert len(found) == suffixes.AROUND + 1
     assert {(r["start"], r["words"]) for r in found} == {(30 - o, 999 + suffixes.LEAST) for o in range(suffixes.AROUND + 1)}
+
+
+@pytest.mark.parametrize("share", [0.1, 0.2])
+def test_recall_at_exactly_a_share_of_edits(share):
+    rng = random.Random(5)
+    vocabulary = [f"x{k}" for k in range(3000)]
+    items = [[*rng.sample(vocabulary, rng.randrange(15, 80))] for _ in range(150)]
+    index = decontaminate.Items([(k, " ".join(w).encode()) for k, w in enumerate(items)])
+    texts = []
+    for w in items:
+        n, edited = decontaminate.edits(len(w), 1 - share), list(w)
+        for p in sorted(rng.sample(range(1, len(w) - 1), n), reverse=True):
+            edited[p : p + 1] = rng.choice([[f"y{p}"], [f"y{p}", edited[p]] if n % 2 else []])
+        text = [*(f"z{rng.randrange(3000)}" for _ in range(30)), *edited, *(f"z{rng.randrange(3000)}" for _ in range(30))]
+        assert least_edits(w, text) == n
+        texts.append(" ".join(text).encode())
+    found = {(t, i) for t, i, *_ in index.matches(texts)}
+    hits = sum((k, k) in found for k in range(len(items)))
+    assert hits >= {0.1: 0.97, 0.2: 0.9}[share] * len(items)
