@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayledger.llm import binary, chat, codes, decontaminate, licenses, packing, quality, simhash, suffixes, toxicity, vectors
+from quayledger.llm import binary, chat, codes, decontaminate, licenses, packing, quality, rules, simhash, suffixes, toxicity, vectors
 from quayledger.llm.shared import Workspace
 
 
@@ -68,12 +68,17 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's counts and the verdict of the rules."""
+    return rules.report(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage, by name."""
-    found = [op1_best_fit_packing, op2_benchmark_leaks, op3_license_scan, op4_simhash_groups, op5_chat_texts, op6_suffix_repeats, op7_toxicity, op8_quality, op9_token_files, op10_near_vectors, op11_vector_codes]
+    found = [op1_best_fit_packing, op2_benchmark_leaks, op3_license_scan, op4_simhash_groups, op5_chat_texts, op6_suffix_repeats, op7_toxicity, op8_quality, op9_token_files, op10_near_vectors, op11_vector_codes, op12_quality_rules]
     return {f.__name__: f for f in found}
 
 
 def llm_oracle() -> dict[str, str]:
     """The same results in DuckDB's SQL where it can express them."""
-    return {"op3_license_scan": licenses.scan_sql(), "op5_chat_texts": chat.CHAT_SQL, "op11_vector_codes": codes.compress_sql()}
+    return {"op3_license_scan": licenses.scan_sql(), "op5_chat_texts": chat.CHAT_SQL, "op11_vector_codes": codes.compress_sql(), "op12_quality_rules": rules.report_sql()}
