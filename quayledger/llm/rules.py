@@ -93,7 +93,8 @@ def count_lines(texts: list[bytes]) -> Counts:
 
 
 def count_repeats(texts: list[bytes]) -> Counts:
-    """n_repeat_words: words in windows of WINDOW words that stand twice or more in the text, by 64-bit hashes of the windows."""
+    """n_repeat_words: words in windows of WINDOW words that stand twice or more in the text; n_stutters: words equal to the word
+    before. Both by 64-bit hashes."""
     parts, sizes = [], []
     short: list[bytes] = []
 
@@ -113,9 +114,10 @@ def count_repeats(texts: list[bytes]) -> Counts:
         sizes.append(sum(map(len, runs)))
     flush()
     words, text = np.concatenate(parts), np.repeat(np.arange(len(sizes)), sizes)
+    stutters = np.bincount(text[1:][(words[1:] == words[:-1]) & (text[1:] == text[:-1])], minlength=len(texts))
     starts = len(words) - WINDOW + 1
     if starts < 1:
-        return {"n_repeat_words": np.zeros(len(texts), np.int64)}
+        return {"n_repeat_words": np.zeros(len(texts), np.int64), "n_stutters": stutters}
     keys = np.zeros(starts, np.uint64)
     for k in range(WINDOW):
         keys = keys * np.uint64(0x9E3779B97F4A7C15) + words[k : k + starts]
@@ -127,7 +129,7 @@ def count_repeats(texts: list[bytes]) -> Counts:
     step = np.zeros(len(words) + 1, np.int64)
     step[whole[again]] += 1
     step[whole[again] + WINDOW] -= 1
-    return {"n_repeat_words": np.bincount(text[np.cumsum(step[:-1]) > 0], minlength=len(texts))}
+    return {"n_repeat_words": np.bincount(text[np.cumsum(step[:-1]) > 0], minlength=len(texts)), "n_stutters": stutters}
 
 
 def _named(found: re.Match) -> bytes:
@@ -140,7 +142,7 @@ COUNTERS: dict[str, tuple[Callable[[list[bytes]], Counts], tuple[str, ...]]] = {
     "symbols": (count_symbols, ("n_symbols",)),
     "capitals": (count_capitals, ("n_capitals",)),
     "lines": (count_lines, ("n_lines", "n_dup_lines", "n_cut_lines", "n_bullets")),
-    "repeats": (count_repeats, ("n_repeat_words",)),
+    "repeats": (count_repeats, ("n_repeat_words", "n_stutters")),
 }
 
 
@@ -170,7 +172,8 @@ RULES = (
     Rule("long_words", "word_chars > 15 * n_words"),
     Rule("bare_words", "5 * n_bare > n_words"),
     Rule("capitals", "2 * n_capitals > word_chars"),
-    Rule("same_lines", "10 * n_dup_lines > 3 * n_lines"),
+    Rule("stutters", "5 * n_stutters > n_words"),
+    Rule("same_lines", "2 * n_dup_lines > n_lines"),
     Rule("cut_lines", "10 * n_cut_lines > 3 * n_lines"),
     Rule("lists", "10 * n_bullets > 9 * n_lines"),
 )
@@ -327,7 +330,8 @@ again AS (SELECT r, p FROM windows QUALIFY count(*) OVER (PARTITION BY r, w) > 1
 covered AS (SELECT r, count(DISTINCT q) AS n_repeat_words FROM (SELECT r, unnest(range(p, p + {WINDOW})) AS q FROM again) GROUP BY r),
 counts AS (SELECT doc_id, len(words) AS n_words, length(regexp_replace(text, '[{white}]', '', 'g')) AS word_chars,
   length(text) - length(regexp_replace(text, '{symbols}', '', 'g')) AS n_symbols, length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_capitals,
-  len(list_filter(words, lambda w: NOT regexp_matches(w, '[A-Za-z\x{{80}}-\x{{10FFFF}}]'))) AS n_bare, coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,
+  len(list_filter(words, lambda w: NOT regexp_matches(w, '[A-Za-z\x{{80}}-\x{{10FFFF}}]'))) AS n_bare, len(list_filter(range(2, len(words) + 1), lambda k: words[k] = words[k - 1])) AS n_stutters,
+  coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,
   coalesce(n_cut_lines, 0) AS n_cut_lines, coalesce(n_bullets, 0) AS n_bullets, coalesce(n_repeat_words, 0) AS n_repeat_words
   FROM split LEFT JOIN lines USING (r) LEFT JOIN covered USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ({base}) AS base_failed, NOT ({base}) AND NOT ({rest}) AS kept FROM counts"""
