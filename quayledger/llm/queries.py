@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayledger.llm import binary, chat, codes, decontaminate, licenses, packing, quality, rules, simhash, suffixes, toxicity, vectors
+from quayledger.llm import binary, chat, codes, decontaminate, licenses, packing, quality, resampling, rules, simhash, suffixes, toxicity, vectors
 from quayledger.llm.shared import Workspace
 
 
@@ -73,12 +73,18 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.report(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op13_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by the benchmark's word runs, the best twentieth ranked."""
+    docs, target = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    return resampling.resample(docs, target, Workspace(spark)).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query of this subpackage, by name."""
-    found = [op1_best_fit_packing, op2_benchmark_leaks, op3_license_scan, op4_simhash_groups, op5_chat_texts, op6_suffix_repeats, op7_toxicity, op8_quality, op9_token_files, op10_near_vectors, op11_vector_codes, op12_quality_rules]
+    found = [op1_best_fit_packing, op2_benchmark_leaks, op3_license_scan, op4_simhash_groups, op5_chat_texts, op6_suffix_repeats, op7_toxicity, op8_quality, op9_token_files, op10_near_vectors, op11_vector_codes, op12_quality_rules, op13_target_resampling]
     return {f.__name__: f for f in found}
 
 
 def llm_oracle() -> dict[str, str]:
     """The same results in DuckDB's SQL where it can express them."""
-    return {"op3_license_scan": licenses.scan_sql(), "op5_chat_texts": chat.CHAT_SQL, "op11_vector_codes": codes.compress_sql(), "op12_quality_rules": rules.report_sql()}
+    return {"op3_license_scan": licenses.scan_sql(), "op5_chat_texts": chat.CHAT_SQL, "op11_vector_codes": codes.compress_sql(), "op12_quality_rules": rules.report_sql(), "op13_target_resampling": resampling.resample_sql()}
