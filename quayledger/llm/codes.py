@@ -52,7 +52,7 @@ def _blocks(rows: DataFrame, scale: float) -> DataFrame:
                 step = max(1, min(1 << 16, BLOCK_CELLS // max(1, int(length))))
                 for k in range(0, len(at), step):
                     part = batch.take(pa.array(at[k : k + step]))
-                    x = integers(part.column(1).flatten().to_numpy().reshape(-1, int(length)), scale)
+                    x = integers(part.column(1).flatten().to_numpy().reshape(len(part.column(0)), int(length)), scale)
                     sizes, numbers, codes = [], [], []
                     for d in range(int(length)):
                         distinct, place = np.unique(x[:, d], return_inverse=True)
