@@ -347,7 +347,7 @@ def bycatch_balance(t: DerivedInputs) -> DataFrame:
     sources = arrived.select(*keys, "movement_type", "total_tonnage").unionByName(
         moved.join(arrived.select(*keys, "movement_type").distinct(), [*keys, "movement_type"], "left_anti").select(*keys, "movement_type", "total_tonnage")
     )
-    return difference_report(sources, registry.build("bycatch", t), keys, "total_tonnage")
+    return difference_report(sources, registry.build("bycatch", t), keys, "total_tonnage", both=False)
 
 
 def stop_over_totals(t: DerivedInputs) -> DataFrame:

@@ -77,12 +77,17 @@ def three_way(
 
 
 def difference_report(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], measure: str
+    left: DataFrame, right: DataFrame, keys: Sequence[str], measure: str, *, both: bool = True
 ) -> DataFrame:
-    """Totals of both sides per key, where both have the key and the totals differ."""
+    """Totals of both sides per key where they differ.
+
+    With ``both`` only keys that both sides have are compared; without, a key that one side has lost counts
+    as 0 there and is reported too.
+    """
     one = left.groupBy(*keys).agg(F.sum(measure).alias(measure))
     other = right.groupBy(*keys).agg(F.sum(measure).alias(f"other_{measure}"))
+    sides = one.join(other, list(keys), "inner" if both else "full")
+    if not both:
+        sides = sides.withColumns({c: F.coalesce(c, F.lit(0)) for c in (measure, f"other_{measure}")})
     difference = F.col(measure) - F.col(f"other_{measure}")
-    return (
-        one.join(other, list(keys)).withColumn("difference", difference).filter("difference <> 0")
-    )
+    return sides.withColumn("difference", difference).filter("difference <> 0")

@@ -2,9 +2,11 @@ import random
 from datetime import date, timedelta
 from decimal import Decimal
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from checks import oracle
 from quayledger.functions import numbers, rates, text
 from quayledger.operators import allocate, quality, reconcile, rollup, views
 
@@ -81,6 +83,26 @@ def test_difference_report(spark):
     one = spark.createDataFrame([("a", 5), ("a", 1), ("b", 7), ("c", 1)], "k string, t int")
     two = spark.createDataFrame([("a", 6), ("b", 9)], "k string, t int")
     assert [tuple(r) for r in reconcile.difference_report(one, two, ["k"], "t").collect()] == [("b", 7, 9, -2)]
+    more = two.union(spark.createDataFrame([("d", 4), ("e", 0)], "k string, t int"))
+    lost = reconcile.difference_report(one, more, ["k"], "t", both=False).collect()
+    assert sorted(map(tuple, lost)) == [("b", 7, 9, -2), ("c", 1, 0, 1), ("d", 0, 4, -4)]
+
+
+def test_three_way_drops_what_is_left_of_nothing(spark):
+    kinds = "k string, s string, t string"
+    cast = lambda rows: spark.createDataFrame(rows, kinds).withColumn("t", F.col("t").cast("decimal(18,3)"))
+    out = reconcile.three_way(cast([("a", "x", "2.000"), ("a", "y", "4.000")]), cast([("a", "x", "6.000")]), ["k"], ["t"], ["s"])
+    assert [tuple(map(str, r)) for r in out.collect()] == [("a", "x", "6.000")]
+
+
+def test_the_oracle_drops_residuals_of_zero():
+    """By-catch whose transfers take all of it away leaves no line in the oracle either."""
+    con = duckdb.connect()
+    columns = "DATE '2025-01-01' AS date, 'Mon' AS day, 'IN' AS movement_type, 'C' AS customer, 'V' AS vessel, 'op' AS operation_type"
+    for name, tonnes in (("catch_in", (2, 4)), ("catch_moved", (6,))):
+        rows = " UNION ALL ".join(f"SELECT {columns}, 's{k}' AS storage_type, {t}::DECIMAL(18,3) AS total_tonnage, 0::DECIMAL(18,3) AS overtime_tonnage" for k, t in enumerate(tonnes))
+        con.execute(f"CREATE TABLE {name} AS {rows}")
+    assert con.execute(f"SELECT total_tonnage FROM ({oracle.STEPS['catch_lines']})").fetchall() == [(Decimal("6.000"),)]
 
 
 @pytest.mark.parametrize("kinds", [False, True])
