@@ -61,9 +61,10 @@ def with_prices(
     return lookup_step(df, steps, F.lit(""), F.col(day), {n: n for n in services})
 
 
-def clients_of_type(client: DataFrame, client_type: str) -> DataFrame:
-    """Vessels or clients of one type."""
-    return client.filter(F.col("type") == client_type).select("vessel_client").distinct()
+def clients_of_type(client: DataFrame, client_type: str, distinct: bool = True) -> DataFrame:
+    """Vessels or clients of one type; entries as they stand without ``distinct``, for readers that group them anyway."""
+    out = client.filter(F.col("type") == client_type).select("vessel_client")
+    return out.distinct() if distinct else out
 
 
 def ship_owners(client: DataFrame) -> DataFrame:
@@ -71,27 +72,7 @@ def ship_owners(client: DataFrame) -> DataFrame:
     return client.filter(F.col("type") == "THONIER").select("customer").distinct()
 
 
-def containers(transfer: DataFrame) -> DataFrame:
-    """Containers that came in, with their line."""
-    return (
-        transfer.filter(F.col("movement_type") != "Delivery")
-        .select("container_number", "line")
-        .distinct()
-    )
-
-
-def owned_containers(transfer: DataFrame, line: str = "IOT") -> DataFrame:
-    """Containers of one owner."""
-    return containers(transfer).filter(F.col("line") == line).select("container_number").distinct()
-
-
-def flag_listed(
-    df: DataFrame, value: Column, listed: DataFrame, listed_column: str, name: str
-) -> DataFrame:
-    """Add whether a value appears in a reference table."""
-    known = listed.select(F.col(listed_column).alias("_known")).distinct()
-    return (
-        df.join(known, value == F.col("_known"), "left")
-        .withColumn(name, F.col("_known").isNotNull())
-        .drop("_known")
-    )
+def owned_containers(transfer: DataFrame, line: str = "IOT", distinct: bool = True) -> DataFrame:
+    """Containers of one owner that came in; entries as they stand without ``distinct``."""
+    out = transfer.filter((F.col("movement_type") != "Delivery") & (F.col("line") == line)).select("container_number")
+    return out.distinct() if distinct else out

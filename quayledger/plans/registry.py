@@ -32,9 +32,9 @@ def landed_readings(t: Tables) -> DataFrame:
 def _listed(t: Tables, lines: DataFrame, make: Callable[..., DataFrame]) -> DataFrame:
     return make(
         lines,
-        unloading.stuffing_types(t["container_ops"]),
-        owned_containers(t["transfer"]),
-        clients_of_type(t["client"], "CARGO"),
+        unloading.stuffings(t["container_ops"]),
+        owned_containers(t["transfer"], distinct=False),
+        clients_of_type(t["client"], "CARGO", distinct=False),
         t["price"],
     )
 

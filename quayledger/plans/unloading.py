@@ -16,7 +16,7 @@ from ..functions.values import TONNES
 from ..operators.asof import asof_join
 from ..operators.calendar import in_range, with_day_name
 from .cold_store import cold_store_log
-from .pricing import flag_listed, with_price, with_prices
+from .pricing import with_price, with_prices
 
 Period = tuple[date | None, date | None] | None
 
@@ -140,6 +140,8 @@ def settled_lines(groups: DataFrame, records: DataFrame, by_sheet_day: bool = Fa
     official = F.when(
         takes_normal, F.col("official_tonnage") - F.col("official_overtime")
     ).otherwise(F.col("official_overtime"))
+    # One shuffle on the record's keys serves the shares within a label and the join.
+    groups = groups.repartition("date", "destination", "vessel", "storage_type")
     if by_sheet_day:
         label = Window.partitionBy("date", "vessel", "destination", "overtime", "storage_type")
         groups = groups.withColumn("_all", F.sum("total_tonnage").over(label))
@@ -163,8 +165,8 @@ def adjusted_cold_store(classified: DataFrame, records: DataFrame, by_sheet_day:
     return settled_lines(groups, records, by_sheet_day)
 
 
-def stuffing_types(container_ops: DataFrame) -> DataFrame:
-    """Kind of stuffing of each plugged container outside the cold store."""
+def stuffings(container_ops: DataFrame) -> DataFrame:
+    """Stuffings of plugged containers outside the cold store, a row per entry of the log."""
     operation = F.col("operation_type")
     kind = (
         F.when(operation.contains("Full"), "Full OSS")
@@ -181,10 +183,14 @@ def stuffing_types(container_ops: DataFrame) -> DataFrame:
             kind.alias("stuffing"),
         )
         .filter(F.col("container_number").isNotNull() & F.col("date_plugged").isNotNull())
-        .distinct()
     )
 
 
+def stuffing_types(container_ops: DataFrame) -> DataFrame:
+    """Kind of stuffing of each plugged container outside the cold store."""
+    return stuffings(container_ops).distinct()
+
+
 def _service(reefer_for_iot: tuple[date, date], fallback: Column) -> Column:
     """Service of a net-list line; the first rule that holds decides."""
     destination, day = F.col("destination"), F.col("date")
@@ -203,15 +209,35 @@ def _service(reefer_for_iot: tuple[date, date], fallback: Column) -> Column:
     )
 
 
+def _with_places(lines: DataFrame, stuffing: DataFrame, owned: DataFrame, cargo_vessels: DataFrame) -> DataFrame:
+    """Lines with what their destination is: a container that was ever stuffed, an owned one, a cargo vessel.
+
+    The three lists become one table with a row per upper-case name, so the lines are looked up once. Its sets hold the
+    spellings of a name; a vessel is found in any case.
+    """
+    kinds = {"_stuffed": (stuffing, "container_number"), "owned": (owned, "container_number"), "to_cargo": (cargo_vessels, "vessel_client")}
+    names = None
+    for kind, (listed, column) in kinds.items():
+        rows = listed.select(F.col(column).alias("_name"), F.lit(kind).alias("_kind"))
+        names = rows if names is None else names.unionByName(rows)
+    spelt = lambda kind: F.collect_set(F.when(F.col("_kind") == kind, F.col("_name"))).alias(f"_{kind}")
+    places = names.dropna().groupBy(F.upper("_name").alias("_place")).agg(*[spelt(kind) for kind in kinds])
+    listed_as = {"_stuffed": F.col("destination"), "owned": F.col("destination"), "to_cargo": F.col("_place")}
+    return (
+        lines.join(places, F.upper("destination") == F.col("_place"), "left")
+        .withColumns({kind: F.coalesce(F.array_contains(f"_{kind}", name), F.lit(False)) for kind, name in listed_as.items()})
+        .drop("_place", *[f"_{kind}" for kind in kinds])
+    )
+
+
 def _with_stuffing(lines: DataFrame, stuffing: DataFrame, same_day: DataFrame) -> DataFrame:
     """Lines with their container's next stuffing for the vessel, and one stuffing of the day itself.
 
     Only lines to a container that was ever stuffed carry its number as a key; the many lines to
     other places have a null key, so no destination gathers them. Of a container's stuffings on the
-    day the line's own vessel comes first: every line stays one line with its tonnes, and
-    ``duplicate_stuffing`` lists the days with several.
+    day, at most a few by vessel and kind, the line's own vessel comes first: every line stays one line with its
+    tonnes, and ``duplicate_stuffing`` lists the days with several.
     """
-    lines = flag_listed(lines, F.col("destination"), stuffing, "container_number", "_stuffed")
     matched = asof_join(
         lines.withColumn("_container", F.when(F.col("_stuffed"), F.col("destination"))),
         stuffing,
@@ -223,26 +249,20 @@ def _with_stuffing(lines: DataFrame, stuffing: DataFrame, same_day: DataFrame) -
         direction="forward",
         bucket_seconds=None,
     )
-    day = [F.col("container_number").alias("_container"), F.col("date_plugged").alias("date")]
-    own = same_day.groupBy(*day, F.col("vessel_client").alias("vessel")).agg(F.min("stuffing").alias("_own"))
-    any_ = same_day.groupBy(*day).agg(F.min(F.struct("vessel_client", "stuffing")).alias("_any"))
-    is_own = F.col("_own").isNotNull()
+    of_day = same_day.groupBy(F.col("container_number").alias("_container"), F.col("date_plugged").alias("date")).agg(
+        F.collect_set(F.struct("vessel_client", "stuffing")).alias("_day")
+    )
+    own = F.array_min(F.filter("_day", lambda x: x["vessel_client"] == F.col("vessel")))
     return (
-        matched.join(own, ["_container", "date", "vessel"], "left")
-        .join(any_, ["_container", "date"], "left")
-        .withColumn("exact_stuffing", F.coalesce("_own", "_any.stuffing"))
-        .withColumn("vessel_client", F.when(is_own, F.col("vessel")).otherwise(F.col("_any.vessel_client")))
-        .drop("_own", "_any", "_container", "_stuffed")
+        matched.join(of_day, ["_container", "date"], "left")
+        .withColumn("_one", F.coalesce(own, F.array_min("_day")))
+        .withColumn("exact_stuffing", F.col("_one.stuffing"))
+        .withColumn("vessel_client", F.col("_one.vessel_client"))
+        .drop("_day", "_one", "_container", "_stuffed")
     )
 
 
-def _priced(
-    listed: DataFrame, owned: DataFrame, cargo_vessels: DataFrame, price: DataFrame, service: Column, remarks: Column
-) -> DataFrame:
-    listed = flag_listed(listed, F.col("destination"), owned, "container_number", "owned")
-    listed = flag_listed(
-        listed, F.upper("destination"), cargo_vessels, "vessel_client", "to_cargo"
-    )
+def _priced(listed: DataFrame, price: DataFrame, service: Column, remarks: Column) -> DataFrame:
     priced = with_price(
         listed.withColumn("service", service), price, F.concat("service", F.lit(" - "), "storage_type")
     )
@@ -277,11 +297,11 @@ def net_list(
     the vessel, on or after the line's date. A Basic OSS of the day by a by-catch
     client comes before the other rules.
     """
-    listed = _with_stuffing(lines, stuffing, stuffing)
+    listed = _with_stuffing(_with_places(lines, stuffing, owned, cargo_vessels), stuffing, stuffing)
     basic = (F.col("exact_stuffing") == "Basic OSS") & F.col("vessel_client").isin("OCEAN BASKET", "AMIRANTE")
     service = F.when(basic, F.col("exact_stuffing")).otherwise(_service(reefer_for_iot, F.col("stuffing")))
     remarks = F.when(F.col("vessel_client") != F.col("vessel"), F.col("vessel_client"))
-    return _priced(listed, owned, cargo_vessels, price, service, remarks)
+    return _priced(listed, price, service, remarks)
 
 
 def net_list_from_readings(
@@ -297,9 +317,10 @@ def net_list_from_readings(
     A container without a next stuffing takes the by-catch companies' stuffing of
     the day, whose client is the remark.
     """
-    listed = _with_stuffing(lines, stuffing, stuffing.filter(F.col("vessel_client").isin(V.BY_CATCH_COMPANIES)))
+    by_catch = stuffing.filter(F.col("vessel_client").isin(V.BY_CATCH_COMPANIES))
+    listed = _with_stuffing(_with_places(lines, stuffing, owned, cargo_vessels), stuffing, by_catch)
     service = _service(reefer_for_iot, F.coalesce("stuffing", "exact_stuffing"))
-    return _priced(listed, owned, cargo_vessels, price, service, F.col("vessel_client"))
+    return _priced(listed, price, service, F.col("vessel_client"))
 
 
 def oss_stuffing(net: DataFrame, price: DataFrame) -> DataFrame:
