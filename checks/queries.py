@@ -25,7 +25,6 @@ from quayledger.sources.catalog import split_listed_rows
 
 from .derived import DerivedInputs, dated_prices
 
-DAY = 86_400
 EVENT_PRICES = dated_prices(
     {"signup": "10.250", "view": "0.125", "click": "0.500", "purchase": "2.750"},
     {"2024-01-05": "0.000", "2024-01-14": "0.125", "2024-01-21": "0.250"},
@@ -116,7 +115,6 @@ def next_purchase(t: DerivedInputs) -> DataFrame:
         ["user_id"],
         ["purchase_ts", "purchase_value"],
         direction="forward",
-        bucket_seconds=DAY,
     )
 
 
@@ -130,8 +128,6 @@ def last_click(t: DerivedInputs) -> DataFrame:
         "ts",
         ["user_id"],
         ["click_ts", "click_value"],
-        bucket_seconds=DAY,
-        salts=2,
     )
 
 
@@ -141,7 +137,6 @@ def previous_gap(t: DerivedInputs) -> DataFrame:
         "user_id",
         ["ts", "event_id"],
         ["ts", "event_type"],
-        bucket_seconds=DAY,
     )
     again = (F.col("ts") > F.col("previous_ts") + F.expr("interval 24 hours")) & (
         F.col("event_type") == F.col("previous_event_type")

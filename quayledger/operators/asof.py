@@ -3,8 +3,8 @@
 Two forms. ``dated_steps`` + ``lookup_step`` serve a dated list, such as prices:
 its rows become half-open intervals keyed by calendar year, so the lookup is an
 equi join with a small residual and Spark broadcasts the list when it is small.
-``asof_join`` serves two big tables: one shuffle on (key, time bucket), with the
-last row of earlier buckets carried in, so a hot key spreads over its buckets.
+``asof_join`` serves two big tables: both sides are dealt by ranges of (key, time),
+and the last hit before a range is carried into it, so a hot key spreads over ranges.
 """
 
 from __future__ import annotations
@@ -14,11 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .parts import PART_ROWS, carried, sampled_parts
+
 # Years that a dated list is keyed by; days outside use the edge years, so none is left out.
 FIRST_YEAR, LAST_YEAR = 1990, 2099
 
-DEFAULT_BUCKET_SECONDS = 32 * 86_400
-
 
 def _calendar_year(day: Column) -> Column:
     """Year of a day, clamped so that days outside the calendar use its edge years."""
@@ -68,13 +68,6 @@ def lookup_step(
     )
 
 
-def time_bucket(moment: Column, seconds: int) -> Column:
-    """Number of the fixed-width time bucket of a date or timestamp."""
-    clock = F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
-    days = F.unix_date(moment.cast("date")).cast("bigint")
-    return F.floor((days * 86_400 + clock) / F.lit(seconds))
-
-
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -85,8 +78,7 @@ def asof_join(
     right_on: str | None = None,
     right_by: Sequence[str] | None = None,
     direction: str = "backward",
-    bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-    salts: int = 1,
+    part_rows: int | None = PART_ROWS,
 ) -> DataFrame:
     """Left as-of join of two big tables on equal keys.
 
@@ -95,80 +87,65 @@ def asof_join(
     (smallest) ``values``. Every left row is returned once, with nulls when a
     key is null or nothing matches.
 
-    Narrow the bucket for dense keys; ``salts`` splits the left rows of one
-    bucket further, at the price of as many copies of the right rows. Without a
-    bucket a key is one window group, which suits tables that are already
-    summed per key and day, and so have a bounded number of rows per key.
+    Both sides are scanned together in ranges of about ``part_rows`` rows by
+    (key, time), sampled when the plan is built; each range starts with the last
+    hit of the key that the ranges before it end with. With ``part_rows`` None a
+    key is one window group and no job runs beforehand, which suits tables that
+    are already summed per key and day, and so have a bounded number of rows per key.
     """
     if direction not in ("backward", "forward"):
         raise ValueError(f"direction {direction!r}")
     forward = direction == "forward"
     right_on, right_by = right_on or on, list(right_by or by)
     keys = [f"_k{i}" for i in range(len(by))]
-    group = [*keys, "_bucket"]
-
-    def bucket(column: str) -> Column:
-        if bucket_seconds is None:
-            return F.lit(0).cast("bigint")
-        number = time_bucket(F.col(column), bucket_seconds)
-        return -number if forward else number
 
-    def ordered(column: Column) -> Column:
-        return column.desc() if forward else column.asc()
+    def ordered(column: str) -> Column:
+        return F.col(column).desc() if forward else F.col(column).asc()
 
     has_key = F.lit(True)
     for c in [*by, on]:
         has_key = has_key & F.col(c).isNotNull()
-    # Rows without a key match nothing; hashing them over buckets keeps them apart.
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(4096))
+    # At one time hits come before searched rows, in the direction of the scan.
     searched = left.select(
         *[F.when(has_key, F.col(c)).alias(k) for c, k in zip(by, keys)],
-        F.when(has_key, bucket(on)).otherwise(spread).alias("_bucket"),
-        F.col(on).alias("_on"),
+        F.when(has_key, F.col(on)).alias("_on"),
+        F.lit(0 if forward else 1).alias("_side"),
+        F.xxhash64(*left.columns).alias("_tie"),
         F.struct(*left.columns).alias("_row"),
     )
     hits = right.dropna(subset=[*right_by, right_on]).select(
         *[F.col(c).alias(k) for c, k in zip(right_by, keys)],
-        bucket(right_on).alias("_bucket"),
+        F.col(right_on).alias("_on"),
+        F.lit(1 if forward else 0).alias("_side"),
         F.struct(F.col(right_on).alias("_on"), *values).alias("_hit"),
     )
-    if bucket_seconds is not None:
-        hits = hits.unionByName(_carried_hits(searched, hits, keys, forward))
-    hits = hits.withColumn("_on", F.col("_hit._on"))
-    if salts > 1:
-        group.append("_salt")
-        searched = searched.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(salts)))
-        copies = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-        hits = hits.withColumn("_salt", F.explode(copies))
-
-    matched = Window.partitionBy(*group).orderBy(
-        ordered(F.col("_on")), F.col("_row").isNotNull(), ordered(F.col("_hit"))
-    ).rowsBetween(Window.unboundedPreceding, 0)
+    position = [*keys, "_on", "_side", "_tie"]
+    # Rows without a key match nothing; hashing them over parts of their own keeps them apart.
+    alone = -1 - F.pmod("_tie", F.lit(4096))
+    both = searched.unionByName(hits, allowMissingColumns=True)
+    is_keyed = F.col("_on").isNotNull()
+    if part_rows is None:
+        both = both.withColumn("_part", F.when(is_keyed, F.lit(0)).otherwise(alone).cast("bigint"))
+    else:
+        part = sampled_parts(both.filter(is_keyed), position, part_rows)
+        both = both.withColumn("_part", F.when(is_keyed, part).otherwise(alone).cast("bigint"))
+        pick, key = (F.min if forward else F.max), F.struct(*keys)
+        ends = (
+            both.filter(is_keyed)
+            .groupBy("_part", *keys)
+            .agg(pick("_hit").alias("_last"))
+            .groupBy("_part")
+            .agg(pick(F.struct(key.alias("_key"), "_last")).alias("_end"))
+            .select("_part", "_end._key", F.col("_end._last").alias("_last"))
+        )
+        last = lambda over: F.last("_last", ignorenulls=True).over(over)
+        before = carried(ends, last, backwards=forward).filter(F.col("_carry").isNotNull())
+        # A carried hit stands at its own time, which no row of its key in the part is before.
+        before = before.select("_part", "_key.*", "_carry._on", F.lit(1 if forward else 0).alias("_side"), F.col("_carry").alias("_hit"))
+        both = both.unionByName(before, allowMissingColumns=True)
+    scan = Window.partitionBy("_part", *keys).orderBy(ordered("_on"), ordered("_side"), ordered("_hit")).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        searched.unionByName(hits, allowMissingColumns=True)
-        .withColumn("_found", F.last("_hit", ignorenulls=True).over(matched))
+        both.withColumn("_found", F.last("_hit", ignorenulls=True).over(scan))
         .filter(F.col("_row").isNotNull())
         .select("_row.*", *[F.col(f"_found.{v}").alias(v) for v in values])
     )
-
-
-def _carried_hits(
-    searched: DataFrame, hits: DataFrame, keys: list[str], forward: bool
-) -> DataFrame:
-    """The last hit of the buckets before each searched bucket, as a hit of that bucket."""
-    pick = F.min if forward else F.max
-    wanted = searched.filter(F.col(keys[0]).isNotNull()).select(*keys, "_bucket").distinct()
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    return (
-        hits.groupBy(*keys, "_bucket")
-        .agg(pick("_hit").alias("_tail"))
-        .withColumn("_wanted", F.lit(False))
-        .unionByName(wanted.withColumn("_wanted", F.lit(True)), allowMissingColumns=True)
-        .groupBy(*keys, "_bucket")
-        .agg(F.max("_tail").alias("_tail"), F.max("_wanted").alias("_wanted"))
-        .withColumn("_hit", F.last("_tail", ignorenulls=True).over(earlier))
-        .filter(F.col("_wanted") & F.col("_hit").isNotNull())
-        .select(*keys, "_bucket", "_hit")
-    )

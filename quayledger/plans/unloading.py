@@ -247,7 +247,7 @@ def _with_stuffing(lines: DataFrame, stuffing: DataFrame, same_day: DataFrame) -
         right_on="date_plugged",
         right_by=["container_number", "vessel_client"],
         direction="forward",
-        bucket_seconds=None,
+        part_rows=None,
     )
     of_day = same_day.groupBy(F.col("container_number").alias("_container"), F.col("date_plugged").alias("date")).agg(
         F.collect_set(F.struct("vessel_client", "stuffing")).alias("_day")

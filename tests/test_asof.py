@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quayledger.operators.asof import asof_join, dated_steps, lookup_step
 from quayledger.operators.ordered import previous_row
+from quayledger.operators.parts import sampled_parts
 
 START = datetime(2025, 1, 1)
 
@@ -30,10 +31,10 @@ def tables(spark, seed):
 
 
 @pytest.mark.parametrize("direction", ["backward", "forward"])
-@pytest.mark.parametrize("bucket,salts", [(None, 1), (3600, 1), (86400, 3), (10**9, 1)])
-def test_asof_join_matches_brute_force(spark, direction, bucket, salts):
+@pytest.mark.parametrize("part_rows", [None, 1, 7, 10**6])
+def test_asof_join_matches_brute_force(spark, direction, part_rows):
     left, right, ldf, rdf = tables(spark, 7)
-    out = asof_join(ldf, rdf, "ts", ["k"], ["v"], direction=direction, bucket_seconds=bucket, salts=salts)
+    out = asof_join(ldf, rdf, "ts", ["k"], ["v"], direction=direction, part_rows=part_rows)
     found = {r.id: r.v for r in out.collect()}
     assert len(found) == len(left) and out.columns == ["id", "k", "ts", "v"]
     for i, k, ts in left:
@@ -68,10 +69,10 @@ def test_both_forms_agree(spark):
     assert sorted(one.collect()) == sorted(two.collect())
 
 
-@pytest.mark.parametrize("bucket", [3600, 86400, 10**9])
-def test_previous_row_matches_brute_force(spark, bucket):
+@pytest.mark.parametrize("part_rows", [1, 7, 10**6])
+def test_previous_row_matches_brute_force(spark, part_rows):
     left, _, ldf, _ = tables(spark, 5)
-    out = {r.id: r for r in previous_row(ldf, "k", ["ts", "id"], ["id", "ts"], bucket_seconds=bucket).collect()}
+    out = {r.id: r for r in previous_row(ldf, "k", ["ts", "id"], ["id", "ts"], part_rows=part_rows).collect()}
     assert len(out) == len(left)
     for i, k, ts in left:
         if k is None or ts is None:
@@ -81,3 +82,55 @@ def test_previous_row_matches_brute_force(spark, bucket):
         assert out[i].occurrence == len(before) + 1
         assert out[i].previous_id == (before[-1][1] if before else None)
         assert out[i].previous_ts == (before[-1][0] if before else None)
+
+
+def hot_rows(n=40_000):
+    """Half of the rows lie in one hour of one key, a fifth at one instant of it, the rest over 500 keys."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(n):
+        if i % 2:
+            second = 1800 if i % 5 == 0 else rng.randrange(3600)
+            rows.append((i, "it's \\ hot", START + timedelta(seconds=second)))
+        else:
+            rows.append((i, f"k{rng.randrange(500)}", START + timedelta(seconds=rng.randrange(10**6))))
+    return rows
+
+
+def test_a_hot_hour_is_cut_into_ranges_of_like_size(spark):
+    df = spark.createDataFrame(hot_rows(), "id int, k string, ts timestamp_ntz")
+    rows = df.select(F.col("k").alias("_key"), F.col("ts").alias("_o0"), F.xxhash64("id").alias("_tie"))
+    part = sampled_parts(rows, ["_key", "_o0", "_tie"], 1000)
+    sizes = sorted(r["count"] for r in rows.groupBy(part.alias("p")).count().collect())
+    assert len(sizes) == 40 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    # Parts are ranges of the position: no part begins before the one below it ends.
+    place = F.struct("_key", "_o0", "_tie")
+    ends = rows.groupBy(part.alias("p")).agg(F.min(place).alias("least"), F.max(place).alias("most")).orderBy("p").collect()
+    assert all(a.most <= b.least for a, b in zip(ends, ends[1:]))
+
+
+def test_carried_states_over_many_ranges_of_one_key(spark):
+    rows = hot_rows(6000)
+    df = spark.createDataFrame(rows, "id int, k string, ts timestamp_ntz").repartition(5)
+    out = {r.id: r for r in previous_row(df, "k", ["ts", "id"], ["id"], part_rows=60).collect()}
+    by_key = {}
+    for i, k, ts in sorted(rows, key=lambda r: (r[1], r[2], r[0])):
+        before = by_key.setdefault(k, [])
+        assert (out[i].previous_id, out[i].occurrence) == (before[-1] if before else None, len(before) + 1)
+        before.append(i)
+    # One hit of the hot key serves all ranges after it, or before it.
+    hits = spark.createDataFrame([("it's \\ hot", START + timedelta(seconds=100), 1), ("it's \\ hot", START + timedelta(seconds=3400), 2)], "k string, ts timestamp_ntz, v int")
+    for direction, want in (("backward", lambda s: 2 if s >= 3400 else 1 if s >= 100 else None), ("forward", lambda s: 1 if s <= 100 else 2 if s <= 3400 else None)):
+        got = asof_join(df, hits, "ts", ["k"], ["v"], direction=direction, part_rows=60).filter("k like 'it%'").collect()
+        assert len(got) == 3000 and all(r.v == want((r.ts - START).seconds) for r in got)
+
+
+def test_parts_of_other_types_and_of_no_rows(spark):
+    kinds = "a decimal(10,2), b date, c boolean, d double, e long"
+    rows = [(k / 4, date(2025, 1, 1) + timedelta(days=k % 50), k % 2 == 0, [0.1, float("inf"), float("nan"), None][k % 4], -k) for k in range(300)]
+    df = spark.createDataFrame(rows, "a double, b date, c boolean, d double, e long").withColumn("a", F.col("a").cast("decimal(10,2)"))
+    for columns in (["a", "e"], ["b", "e"], ["c", "d", "e"]):
+        sizes = [r["count"] for r in df.groupBy(sampled_parts(df, columns, 30).alias("p")).count().collect()]
+        assert len(sizes) == 10 and max(sizes) <= 60
+    none = spark.createDataFrame([], kinds)
+    assert none.groupBy(sampled_parts(none, ["a", "b"], 10).alias("p")).count().collect() == []
