@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from quayledger.operators.allocate import share, with_group_totals
 from quayledger.operators.asof import asof_join, dated_steps, lookup_step
 from quayledger.operators.calendar import date_spine, holidays_of, month_range, two_month_range, week_table, with_day_name
 from quayledger.operators.ordered import previous_row
-from quayledger.operators.reconcile import difference_report, fallback_lookup
+from quayledger.operators.reconcile import difference_report, fallback_lookup, grains
 from quayledger.operators.rollup import history_before
 from quayledger.operators.views import columns_like, daily_sums, latest_date, member, view
 from quayledger.plans import berth, cold_store, operations, registry, scows, stuffing, unloading
@@ -162,15 +163,10 @@ def order_shares(t: DerivedInputs) -> DataFrame:
 
 def fallback_rates(t: DerivedInputs) -> DataFrame:
     lines = t.given("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_quantity")
-
-    def level(keys: list[str], least: int) -> tuple[list[str], DataFrame]:
-        sums = lines.groupBy(*keys).agg(
-            F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"), F.count(F.lit(1)).alias("n")
-        )
-        return keys, sums.filter(F.col("n") >= least).select(*keys, (F.col("quantity") / F.col("n")).alias("rate"))
-
-    levels = [level(["l_partkey", "l_suppkey"], 3), level(["l_partkey", "l_returnflag"], 12), level(["l_suppkey"], 1)]
-    return fallback_lookup(lines, levels, ["rate"]).drop("l_returnflag")
+    levels, least = [["l_partkey", "l_suppkey"], ["l_partkey", "l_returnflag"], ["l_suppkey"]], F.array(F.lit(3), F.lit(12), F.lit(1))
+    sums = grains(lines, levels, {"quantity": F.sum(F.col("l_quantity").cast("bigint")), "n": F.count(F.lit(1))})
+    rates = sums.filter(F.col("n") >= F.get(least, F.col("_level"))).withColumn("rate", F.col("quantity") / F.col("n"))
+    return fallback_lookup(lines, levels, rates, ["rate"]).drop("l_returnflag")
 
 
 def gate_in_history(t: DerivedInputs) -> DataFrame:
@@ -210,18 +206,7 @@ def rejected_forklift(t: DerivedInputs) -> DataFrame:
 
 def scow_trip_rules(t: DerivedInputs) -> DataFrame:
     full = registry.build("full_scows_transfer", t)
-    valid, rejected = quality.split_valid(
-        full,
-        {
-            "overtime": F.col("overtime").isin(list(V.MULTIPLIERS)),
-            "num_of_scows": F.col("num_of_scows") >= 0,
-            "storage_type": F.col("storage_type").isin(V.STORAGE_TYPES),
-            "tonnage": F.col("tonnage") >= 0,
-            "price": F.col("price") >= 0,
-            "total_price": F.col("total_price") >= 0,
-            "time_order": F.col("end_time") >= F.col("start_time"),
-        },
-    )
+    valid, rejected = quality.split_valid(full, scows.trip_rules())
     return (
         valid.select(F.lit("").alias("errors"))
         .unionByName(rejected.select(F.array_join("errors", ",").alias("errors")))
@@ -434,5 +419,5 @@ def _registered(query: Query) -> Callable[[SparkSession, str], DataFrame]:
 
 def registered_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every dataset of the registry and every further query."""
-    datasets = {name: b for group in registry.DATASETS.values() for name, b in group.items()}
+    datasets = {name: partial(registry.build, name) for group in registry.DATASETS.values() for name in group}
     return {name: _registered(q) for name, q in {**datasets, **DERIVED_QUERIES}.items()}

@@ -4,25 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
+
+
+def _leveled(df: DataFrame, levels: Sequence[Sequence[str]], types: dict[str, DataType]) -> Column:
+    """An array with a (level, key) for each level whose columns are all filled; a key has the columns of all levels, null
+    where its own level lacks them."""
+    names = list(dict.fromkeys(c for keys in levels for c in keys))
+    kinds = {c: types.get(c, df.schema[c].dataType) for c in names}
+    out = []
+    for i, keys in enumerate(levels):
+        filled = F.lit(True)
+        for c in keys:
+            filled = filled & F.col(c).isNotNull()
+        key = F.struct(*[(F.col(c) if c in keys else F.lit(None)).cast(kinds[c]).alias(c) for c in names])
+        out.append(F.when(filled, F.struct(F.lit(i).alias("_level"), key.alias("_key"))))
+    return F.array_compact(F.array(*out))
+
+
+def grains(df: DataFrame, levels: Sequence[Sequence[str]], measures: dict[str, Column]) -> DataFrame:
+    """Aggregates of ``df`` by every level's columns in one pass: ``_level``, ``_key`` and the measures.
+
+    The rows are repeated per level before the partial aggregation, as GROUPING SETS do, so all levels share one scan and
+    one shuffle. Rows without a column of a level do not count there.
+    """
+    spread = df.withColumn("_at", F.explode(_leveled(df, levels, {}))).select(*df.columns, "_at.*")
+    return spread.groupBy("_level", "_key").agg(*[m.alias(name) for name, m in measures.items()])
 
 
 def fallback_lookup(
-    df: DataFrame, levels: Sequence[tuple[Sequence[str], DataFrame]], values: Sequence[str]
+    df: DataFrame, levels: Sequence[Sequence[str]], table: DataFrame, values: Sequence[str]
 ) -> DataFrame:
-    """Left join each level on its keys, from specific to coarse, and take the first value found.
+    """Look up each row's levels, from specific to coarse, and take the first value found.
 
-    Every level holds one row per key, so the row count of ``df`` is kept.
+    ``table`` has a row per ``_level`` and ``_key``, as ``grains`` gives it. A row goes whole into one join, beside it a
+    slim copy per level under 128 bits of its hash; they meet again by the hash, where the least level wins. Every row is
+    kept, equal rows as often as they stand.
     """
-    out, columns = df, df.columns
-    for i, (keys, table) in enumerate(levels):
-        right = table.select(*keys, *[F.col(v).alias(f"_{v}_{i}") for v in values])
-        out = out.join(right, list(keys), "left")
-    return out.select(
-        *columns,
-        *[F.coalesce(*[F.col(f"_{v}_{i}") for i in range(len(levels))]).alias(v) for v in values],
+    types = {f.name: f.dataType for f in table.schema["_key"].dataType.fields}
+    whole, key_type = F.struct(*df.columns), table.schema["_key"].dataType
+    own = F.array(F.struct(whole.alias("_row"), F.lit(-1).alias("_level"), F.lit(None).cast(key_type).alias("_key")))
+    no_row = F.lit(None).cast(df.schema).alias("_row")
+    others = F.transform(_leveled(df, levels, types), lambda x: F.struct(no_row, x["_level"].alias("_level"), x["_key"].alias("_key")))
+    name = [F.xxhash64(F.lit(seed), *df.columns).alias(f"_name{seed}") for seed in (1, 2)]
+    copies = df.select(*name, F.explode(F.concat(own, others)).alias("_copy")).select("_name1", "_name2", "_copy.*")
+    found = copies.join(table.select("_level", "_key", *[F.col(v).alias(f"_{v}") for v in values]), ["_level", "_key"], "left")
+    first = [F.min_by(f"_{v}", F.when(F.col(f"_{v}").isNotNull(), F.col("_level"))).alias(v) for v in values]
+    rows = found.groupBy("_name1", "_name2").agg(
+        F.first("_row", ignorenulls=True).alias("_row"), F.count("_row").cast("int").alias("_times"), *first
     )
+    kept = [F.col(f"_row.{c}").alias(c) for c in df.columns if c not in values]
+    # Each copy of equal rows has met each copy of their levels, all with the same values.
+    return rows.select(*kept, *values, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_time")).drop("_time")
 
 
 def three_way(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Callable, Mapping
-from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from ..sources.sinks import SaveResult, save_group
 from . import cold_store, emr, scows, shore, stuffing, transport, unloading
@@ -73,7 +73,7 @@ DATASETS: dict[str, dict[str, Callable[[Tables], DataFrame]]] = {
         "iot_container_stuffing": lambda t: unloading.iot_stuffing(
             t["unloading_summary"], owned_containers(t["transfer"]), t["container_ops"], t["price"]
         ),
-        "oss_stuffing": lambda t: unloading.oss_stuffing(_net_list(t), t["price"]),
+        "oss_stuffing": lambda t: unloading.oss_stuffing(t["net_list"], t["price"]),
         "iot_cargo_discharge": lambda t: unloading.iot_cargo(t["unloading_summary"], t["price"]),
     },
     "bin_dispatch": {
@@ -111,20 +111,32 @@ DATASETS: dict[str, dict[str, Callable[[Tables], DataFrame]]] = {
 }
 
 
-def build(name: str, tables: Tables) -> DataFrame:
-    """One dataset by name."""
+#: Datasets that are made from the results of others, which their builders find among the tables.
+NEEDS: dict[str, tuple[str, ...]] = {"oss_stuffing": ("net_list",)}
+
+
+def rules() -> dict[str, dict[str, Column]]:
+    """Row rules by dataset, counted while it is written."""
+    return {"full_scows_transfer": scows.trip_rules()}
+
+
+def _builder(name: str) -> Callable[[Tables], DataFrame]:
     for group in DATASETS.values():
         if name in group:
-            return group[name](tables)
+            return group[name]
     raise KeyError(name)
 
 
+def build(name: str, tables: Tables) -> DataFrame:
+    """One dataset by name, made from the results it needs."""
+    needed = {n: build(n, tables) for n in NEEDS.get(name, ())}
+    return _builder(name)(ChainMap(needed, tables) if needed else tables)
+
+
 def save(group: str, tables: Tables, root: str) -> list[SaveResult]:
-    """Write one group, or 'all' of them, as CSV under ``root``."""
+    """Write one group, or 'all' of them, as CSV under ``root``; results that others are made from are made once."""
     if group != "all" and group not in DATASETS:
         raise KeyError(f"{group}: not one of {[*DATASETS, 'all']}")
-    results = []
-    for name, datasets in DATASETS.items():
-        if group in (name, "all"):
-            results += save_group({n: partial(b, tables) for n, b in datasets.items()}, root)
-    return results
+    wanted = [n for name, datasets in DATASETS.items() if group in (name, "all") for n in datasets]
+    builders = {n: (lambda made, n=n: _builder(n)(ChainMap(made, tables) if made else tables)) for g in DATASETS.values() for n in g}
+    return save_group(builders, root, NEEDS, wanted, rules())

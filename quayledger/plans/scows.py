@@ -13,7 +13,7 @@ from ..functions.timeband import is_special, label_by_cutoff
 from ..functions.values import TONNES
 from ..operators.allocate import share, with_group_totals
 from ..operators.calendar import in_range, with_day_name
-from ..operators.reconcile import fallback_lookup
+from ..operators.reconcile import fallback_lookup, grains
 from .cold_store import cold_store_log
 from .pricing import with_price
 
@@ -39,23 +39,24 @@ def scow_transfers(scow_transfer: DataFrame, period: Period = None) -> DataFrame
     )
 
 
+def _dispatched(cold_store: DataFrame, period: Period) -> DataFrame:
+    """Rows of the cold-store log that dispatch bins, in positive tonnes."""
+    log = cold_store_log(cold_store, period).filter(F.col("operation_type").isin(V.BIN_DISPATCH_SERVICES))
+    return log.withColumn("total_tonnage", F.abs("total_tonnage"))
+
+
 def bin_dispatch(cold_store: DataFrame, period: Period = None) -> DataFrame:
     """Total, overtime and normal tonnes dispatched per day, customer and movement."""
-    return _with_normal(
-        cold_store_log(cold_store, period)
-        .filter(F.col("operation_type").isin(V.BIN_DISPATCH_SERVICES))
-        .withColumn("total_tonnage", F.abs("total_tonnage"))
-        .groupBy("date", "customer", "movement_type")
-    )
+    grouped = _dispatched(cold_store, period).groupBy("date", "customer", "movement_type")
+    return _with_normal(grouped.agg(*[c.alias(n) for n, c in _dispatch_sums().items()]))
 
 
-def _with_normal(grouped) -> DataFrame:
-    sums = grouped.agg(
-        F.sum("total_tonnage").cast(TONNES).alias("total_tonnage"),
-        F.sum("overtime_tonnage").cast(TONNES).alias("overtime_tonnage"),
-    )
-    normal = (F.col("total_tonnage") - F.col("overtime_tonnage")).cast(TONNES)
-    return sums.withColumn("normal_tonnage", normal)
+def _dispatch_sums() -> dict[str, Column]:
+    return {c: F.sum(c).cast(TONNES) for c in ("total_tonnage", "overtime_tonnage")}
+
+
+def _with_normal(sums: DataFrame) -> DataFrame:
+    return sums.withColumn("normal_tonnage", (F.col("total_tonnage") - F.col("overtime_tonnage")).cast(TONNES))
 
 
 def _trips(scows: DataFrame, status: str, more_keys: list[str]) -> DataFrame:
@@ -89,14 +90,10 @@ def full_scows(
     A coarse match repeats the day's tonnes for every row it serves;
     ``allocate_scows`` is the one that shares them out.
     """
-    fine = bin_dispatch(cold_store, period)
-    levels = [
-        (["date", "customer", "movement_type"], fine),
-        (["date", "movement_type"], _with_normal(fine.groupBy("date", "movement_type"))),
-        (["date", "customer"], _with_normal(fine.groupBy("date", "customer"))),
-    ]
+    levels = [["date", "customer", "movement_type"], ["date", "movement_type"], ["date", "customer"]]
+    dispatched = _with_normal(grains(_dispatched(cold_store, period), levels, _dispatch_sums()))
     trips = _trips(scow_transfers(scow_transfer, period), "Full", ["storage_type"])
-    matched = fallback_lookup(trips, levels, ["normal_tonnage", "overtime_tonnage"])
+    matched = fallback_lookup(trips, levels, dispatched, ["normal_tonnage", "overtime_tonnage"])
     takes_normal = (F.col("overtime") == V.NORMAL) | (
         is_special(F.col("day_name")) & (F.col("overtime") == V.OVERTIME_150)
     )
@@ -120,6 +117,19 @@ def full_scows(
     )
 
 
+def trip_rules() -> dict[str, Column]:
+    """Rules a full-scow line must keep."""
+    return {
+        "overtime": F.col("overtime").isin(list(V.MULTIPLIERS)),
+        "num_of_scows": F.col("num_of_scows") >= 0,
+        "storage_type": F.col("storage_type").isin(V.STORAGE_TYPES),
+        "tonnage": F.col("tonnage") >= 0,
+        "price": F.col("price") >= 0,
+        "total_price": F.col("total_price") >= 0,
+        "time_order": F.col("end_time") >= F.col("start_time"),
+    }
+
+
 def empty_scows(scow_transfer: DataFrame, price: DataFrame, period: Period = None) -> DataFrame:
     """Empty scows priced per scow."""
     trips = _trips(scow_transfers(scow_transfer, period), "Empty", [])

@@ -57,13 +57,27 @@ def test_allocation_keeps_the_total(spark):
 
 
 def test_fallback_lookup_takes_the_finest_level(spark):
-    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x"), ("c", "z")], "k string, m string")
-    fine = spark.createDataFrame([("a", "x", 1)], "k string, m string, v int")
-    by_m = spark.createDataFrame([("x", 2)], "m string, v int")
-    by_k = spark.createDataFrame([("a", 3), ("b", 4)], "k string, v int")
-    out = reconcile.fallback_lookup(df, [(["k", "m"], fine), (["m"], by_m), (["k"], by_k)], ["v"])
-    assert sorted((r.k, r.m, r.v) for r in out.collect() if r.v) == [("a", "x", 1), ("a", "y", 3), ("b", "x", 2)]
-    assert out.count() == 4
+    rng = random.Random(6)
+    pick = lambda names: rng.choice([*names, None])
+    facts = [(i, pick("abcd"), pick("xyz"), rng.choice("pq")) for i in range(80)]
+    logged = [(pick("abe"), pick("xw"), rng.choice([None, 1, 2, 5])) for _ in range(12)]
+    levels = [["k", "m"], ["m"], ["k"]]
+    table = reconcile.grains(spark.createDataFrame(logged, "k string, m string, v int"), levels, {"v": F.sum("v"), "n": F.count("*")})
+    df = spark.createDataFrame(facts, "id int, k string, m string, c string")
+    out = reconcile.fallback_lookup(df.union(df.filter("id < 9")), levels, table, ["v", "n"])
+    assert out.columns == ["id", "k", "m", "c", "v", "n"]
+    rows = out.collect()
+    found = {r.id: tuple(r)[1:] for r in rows}
+    assert len(found) == len(facts) and len(rows) == len(facts) + 9
+    for i, k, m, c in facts:
+        want = {"v": None, "n": None}
+        for keys in levels:
+            at = dict(k=k, m=m)
+            mine = [r for r in logged if all(at[x] is not None and r["km".index(x)] == at[x] for x in keys)]
+            sums = [r[2] for r in mine if r[2] is not None]
+            want["v"] = want["v"] if want["v"] is not None or not sums else sum(sums)
+            want["n"] = want["n"] or len(mine) or None
+        assert found[i] == (k, m, c, want["v"], want["n"])
 
 
 def test_three_way_keeps_the_tonnage(spark):
