@@ -205,7 +205,8 @@ TABLES = {
                          || lpad(CAST({KILOS} % 1000 AS STRING), 3, '0')
                     ELSE CAST({KILOS} AS STRING) END AS scale_reading,
                {STORAGE} AS storage, {DESTINATION} AS destination, {LABEL} AS overtime,
-               {pick("l_linenumber + l_orderkey", ["Port", "Starboard", "Aft"])} AS side_working
+               CASE WHEN day({LINE_DAY}) = 11 THEN CAST(NULL AS STRING)
+                    ELSE {pick("l_linenumber + l_orderkey", ["Port", "Starboard", "Port, aft"])} END AS side_working
         FROM {LINES}
     """,
     "unloading_summary": f"""
@@ -215,6 +216,16 @@ TABLES = {
                {tonnes("l_quantity * 0.137")} AS total_tonnage
         FROM {LINES}
     """,
+    "unloading_sheet": f"""
+        SELECT CASE l_orderkey % 211 WHEN 0 THEN 'tbc' WHEN 1 THEN ' ' ELSE CAST({LINE_DAY} AS STRING) END AS date,
+               {LINE_VESSEL} AS vessel,
+               CASE WHEN l_linenumber = 7 AND l_partkey % 5 = 0 THEN 'noon' ELSE CAST({LINE_CLOCK} AS STRING) END AS start_time,
+               CAST({END_CLOCK.format(LINE_CLOCK, "l_partkey")} AS STRING) AS end_time,
+               {DESTINATION} AS destination, {LABEL} AS overtime, {STORAGE} AS storage_type,
+               CASE l_suppkey % 97 WHEN 0 THEN '12;5' WHEN 1 THEN '' ELSE ' ' || {tonnes_text("l_quantity * 0.137")} END
+                   AS total_tonnage
+        FROM {LINES}
+    """,
     "cold_store": f"""
         SELECT {pick("line_day_number", WEEK)} AS day, {LINE_DAY} AS date,
                CASE WHEN l_linestatus = 'O' THEN 'OUT' ELSE 'IN' END AS movement_type,

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayledger.functions import values as V
-from quayledger.functions.numbers import kilos_to_tonnes, outgoing_count, to_count, to_tonnes
+from quayledger.functions.numbers import kilos_to_tonnes, outgoing_count, to_count, to_tonnes, unreadable
 from quayledger.functions.rates import as_report, multiplier
 from quayledger.functions.timeband import label_by_clock, label_by_cutoff, valid_span
 from quayledger.operators import quality
@@ -22,7 +22,8 @@ from quayledger.operators.rollup import history_before
 from quayledger.operators.views import columns_like, daily_sums, latest_date, member, view
 from quayledger.plans import berth, cold_store, operations, registry, scows, stuffing, unloading
 from quayledger.plans import pricing, transport
-from quayledger.sources.catalog import split_listed_rows
+from quayledger.sources.catalog import NUMBERS, RESCUED, split_listed_rows, with_schema
+from quayledger.sources.catalog import refused_cells as cells_of
 
 from .derived import DerivedInputs, dated_prices
 
@@ -256,6 +257,31 @@ def dirty_numbers(t: DerivedInputs) -> DataFrame:
     )
 
 
+def _rescued_sheet(t: DerivedInputs) -> DataFrame:
+    return with_schema(t["unloading_sheet"], "unloading_summary", cells="rescue")
+
+
+def refused_cells(t: DerivedInputs) -> DataFrame:
+    """The texts that can't be read as numbers, dates or times, by table and column."""
+    tables = [cells_of(t[name], name) for name in NUMBERS]
+    return reduce(DataFrame.unionByName, tables, cells_of(_rescued_sheet(t), "unloading_summary"))
+
+
+def rescued_sheet(t: DerivedInputs) -> DataFrame:
+    """Tonnes of a sheet as typed, and what was left out of them, by storage type and whether the day is known."""
+    lost = {c: F.array_contains(F.transform(RESCUED, lambda x: x["column"]), c) for c in ("date", "start_time", "total_tonnage")}
+    sheet = _rescued_sheet(t).withColumn("dated", F.col("date").isNotNull())
+    sums = quality.stated_sums(sheet, ["storage_type", "dated"], {"tonnage": (F.col("total_tonnage"), lost["total_tonnage"])})
+    cells = sheet.groupBy("storage_type", "dated").agg(*[F.count_if(lost[c]).alias(f"{c}_left_out") for c in ("date", "start_time")])
+    return sums.join(cells, ["storage_type", "dated"])
+
+
+def stated_totals(t: DerivedInputs) -> DataFrame:
+    """Cold-store tonnes by movement, with the number of cells that count for nothing because they can't be read."""
+    tonnes = {c: (to_tonnes(F.col(c)), unreadable(F.col(c), "tonnes")) for c in ("total_tonnage", "overtime_tonnage", "static_loader")}
+    return quality.stated_sums(t["cold_store"], ["operation_type", "movement_type"], tonnes)
+
+
 def scale_totals(t: DerivedInputs) -> DataFrame:
     raw = t["unloading_raw"]
     return raw.groupBy("storage").agg(F.sum(kilos_to_tonnes(F.col("scale_reading"))).alias("tonnage"))
@@ -360,6 +386,9 @@ DERIVED_QUERIES: dict[str, Query] = {
     "unlisted_containers": unlisted_containers,
     "named_movements": named_movements,
     "dirty_numbers": dirty_numbers,
+    "refused_cells": refused_cells,
+    "rescued_sheet": rescued_sheet,
+    "stated_totals": stated_totals,
     "scale_totals": scale_totals,
     "classified_readings": _classified,
     "adjusted_cold_store": adjusted_cold_store,

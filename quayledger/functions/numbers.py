@@ -31,3 +31,19 @@ def to_count(text: Column) -> Column:
 def outgoing_count(text: Column) -> Column:
     """A whole number written with or without minus signs, always counted as negative."""
     return to_count(F.btrim(text.cast("string"), F.lit("-"))) * F.lit(-1)
+
+
+#: How each kind of hand-typed number is cleaned before it is read, and the type it is read as.
+_READERS = {
+    "tonnes": (_filled, TONNES),
+    "kilos": (lambda text: F.replace(text, F.lit(","), F.lit("")), "bigint"),
+    "count": (_filled, "bigint"),
+    "outgoing": (lambda text: _filled(F.btrim(text.cast("string"), F.lit("-"))), "bigint"),
+}
+KINDS = tuple(_READERS)
+
+
+def unreadable(text: Column, kind: str) -> Column:
+    """Whether a cell holds something that is no number of its kind. Blank and null cells hold nothing."""
+    clean, read_as = _READERS[kind]
+    return _filled(text).isNotNull() & clean(text).try_cast(read_as).isNull()

@@ -59,6 +59,14 @@ def split_valid(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Dat
     return checked.filter(F.size("errors") == 0).drop("errors"), checked.filter(F.size("errors") > 0)
 
 
+def stated_sums(df: DataFrame, keys: Sequence[str], measures: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Sums that say what they leave out: per measure, a pair of its number and whether the cell is unreadable, the sum of the
+    readable ones and the count of the others as ``<name>_left_out``."""
+    sums = [F.sum(F.when(~bad, number)).alias(name) for name, (number, bad) in measures.items()]
+    left_out = [F.count_if(bad).alias(f"{name}_left_out") for name, (_, bad) in measures.items()]
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), *sums, *left_out)
+
+
 def not_blank(text: Column) -> Column:
     """Rule: text that is not empty or all blanks."""
     return F.length(F.trim(text)) > 0

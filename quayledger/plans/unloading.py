@@ -414,12 +414,16 @@ def iot_stuffing(
 
 def tare_calibration(unloading_raw: DataFrame, price: DataFrame, period: Period = None) -> DataFrame:
     """Scale calibration per day and vessel: one rental, one calibration per working side."""
+    # Distinct sides first, so that a day's readings are reduced to its few sides before they are listed.
+    readings = unloading_raw.filter(in_range(F.col("date"), period))
+    worked = readings.groupBy("date", F.upper("vessel").alias("vessel"), "side_working").agg(F.count(F.lit(1)).alias("_readings"))
     sides = (
-        unloading_raw.filter(in_range(F.col("date"), period))
-        .groupBy("date", F.upper("vessel").alias("vessel"))
-        .agg(F.array_join(F.sort_array(F.collect_set("side_working")), ", ").alias("side_working"))
+        worked.groupBy("date", "vessel")
+        .agg(F.sort_array(F.collect_list("side_working")).alias("_sides"))
+        .withColumn("side_working", F.array_join("_sides", ", "))
         .withColumn("rental_of_weight", F.lit(1).cast("bigint"))
-        .withColumn("number_of_sides", F.size(F.split("side_working", ", ")).cast("bigint"))
+        .withColumn("number_of_sides", F.size("_sides").cast("bigint"))
+        .drop("_sides")
     )
     sides = with_prices(
         sides, price, {"rental": "Rental of Calibration", "calibration": "Tare Calibration"}

@@ -9,10 +9,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import values as V
+from ..functions.numbers import unreadable
 from ..operators.quality import require_name, split_valid
 
 SCHEMAS = {
@@ -185,6 +186,25 @@ LISTED = {
 }
 
 
+# Text columns that hold hand-typed numbers, and how a plan reads them.
+NUMBERS = {
+    "unloading_raw": {"scale_reading": "kilos"},
+    "cold_store": {
+        "total_tonnage": "tonnes",
+        "overtime_tonnage": "tonnes",
+        "static_loader": "tonnes",
+        "bins_in": "count",
+        "bins_out": "outgoing",
+    },
+    "cross_stuffing": {"total_tonnage": "tonnes", "overtime_tonnage": "tonnes"},
+    "by_catch_transfer": {"total_tonnage": "tonnes", "overtime_tonnage": "tonnes"},
+    "cccs_stuffing": {"total_tonnage": "tonnes", "overtime_tonnage": "tonnes"},
+}
+
+#: The column of rescued cells: an array of (column, text).
+RESCUED = "_rescued"
+
+
 def require_listed(df: DataFrame, name: str) -> DataFrame:
     """The table itself; the query fails on a value that is not on its column's list."""
     return df.withColumns({c: require_name(F.col(c), v) for c, v in LISTED.get(name, {}).items()})
@@ -196,13 +216,37 @@ def split_listed_rows(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return split_valid(df, rules)
 
 
+def bad_cells(df: DataFrame, name: str, typed: Mapping[str, str] | None = None) -> Column:
+    """Cells of a row that can't be read, as an array of (column, text).
+
+    ``typed`` maps text columns to the types they are to be cast to; the table's hand-typed numbers are looked at besides.
+    """
+    wrong = {c: unreadable(F.col(c), kind) for c, kind in NUMBERS.get(name, {}).items()}
+    for c, kind in (typed or {}).items():
+        text = F.nullif(F.trim(F.col(c).cast("string")), F.lit(""))
+        wrong[c] = text.isNotNull() & text.try_cast(kind).isNull()
+    cells = [F.when(bad, F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text"))) for c, bad in wrong.items()]
+    return F.array_compact(F.array(*cells)) if cells else F.array().cast("array<struct<column:string,text:string>>")
+
+
+def refused_cells(df: DataFrame, name: str) -> DataFrame:
+    """Each unreadable text of a table with its column and how many rows hold it. ``df`` may have a column of rescued cells."""
+    cells = F.col(RESCUED) if RESCUED in df.columns else bad_cells(df, name)
+    cell = df.select(F.explode(cells).alias("_cell"))
+    return cell.groupBy(F.lit(name).alias("table"), F.col("_cell.column").alias("column"), F.col("_cell.text").alias("text")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
 class Inputs(Mapping[str, DataFrame]):
     """Tables by name, read on first use from ``root/<name>``, by column name and never by place.
 
     A file's columns may stand in any order and carry the sheet's headers. A missing column, or one that
     neither the schema nor ``extra`` (more columns by table, left out) names, is an error. ``unlisted``
     tells what happens to rows off a column's list: "keep" them, "fail" the query, or "drop" them from
-    the table, when ``refused`` gives them with the columns at fault.
+    the table, when ``refused`` gives them with the columns at fault. ``cells`` tells what happens to a cell
+    that is not of its column's type: "fail" the query, or "rescue" the row with a null in its place, when
+    ``rescued`` gives the rows with such cells beside them, and ``refused_cells`` counts the texts.
     """
 
     def __init__(
@@ -213,18 +257,24 @@ class Inputs(Mapping[str, DataFrame]):
         suffix: str = "",
         unlisted: str = "keep",
         extra: Mapping[str, Sequence[str]] | None = None,
+        cells: str = "fail",
     ):
         if unlisted not in ("keep", "fail", "drop"):
             raise ValueError(f"unlisted: {unlisted}")
+        if cells not in ("fail", "rescue"):
+            raise ValueError(f"cells: {cells}")
         self._spark, self._root, self._fmt, self._suffix = spark, root, fmt, suffix
-        self._unlisted, self._extra = unlisted, extra or {}
+        self._unlisted, self._extra, self._cells = unlisted, extra or {}, cells
 
-    def _read(self, name: str) -> DataFrame:
+    def _load(self, name: str, cells: str) -> DataFrame:
         path = f"{self._root}/{name}{self._suffix}"
         reader = self._spark.read
         if self._fmt == "csv":
             reader = reader.option("header", True)
-        return with_schema(reader.format(self._fmt).load(path), name, self._extra.get(name, ()))
+        return with_schema(reader.format(self._fmt).load(path), name, self._extra.get(name, ()), cells)
+
+    def _read(self, name: str) -> DataFrame:
+        return self._load(name, self._cells).drop(RESCUED)
 
     def __getitem__(self, name: str) -> DataFrame:
         df = self._read(name)
@@ -236,6 +286,14 @@ class Inputs(Mapping[str, DataFrame]):
         """Rows of a table that are off their lists, with the columns at fault."""
         return split_listed_rows(self._read(name), name)[1]
 
+    def rescued(self, name: str) -> DataFrame:
+        """Rows of a table with cells that can't be read, those cells beside them."""
+        return self._load(name, "rescue").filter(F.size(RESCUED) > 0)
+
+    def refused_cells(self, name: str) -> DataFrame:
+        """The texts that can't be read, by column."""
+        return refused_cells(self._load(name, "rescue"), name)
+
     def __iter__(self) -> Iterator[str]:
         return iter(SCHEMAS)
 
@@ -248,11 +306,19 @@ def with_sheet_headers(df: DataFrame, name: str) -> DataFrame:
     return df.withColumnsRenamed(HEADERS.get(name, {}))
 
 
-def with_schema(df: DataFrame, name: str, extra: Sequence[str] = ()) -> DataFrame:
-    """The table's columns by name, renamed from sheet headers and cast; an error on a missing or unknown one."""
+def with_schema(df: DataFrame, name: str, extra: Sequence[str] = (), cells: str = "fail") -> DataFrame:
+    """The table's columns by name, renamed from sheet headers and cast; an error on a missing or unknown one.
+
+    With ``cells`` "rescue" a cell that is not of its type becomes null and stands in the column RESCUED.
+    """
     df = with_sheet_headers(df, name)
     columns = dict(c.strip().rsplit(" ", 1) for c in re.split(r",\s*(?![^()]*\))", SCHEMAS[name]))
     missing, unknown = set(columns) - set(df.columns), set(df.columns) - set(columns) - set(extra)
     if missing or unknown or len(set(df.columns)) < len(df.columns):
         raise ValueError(f"{name}: missing {sorted(missing)}, unknown {sorted(unknown)}, of {df.columns}")
-    return df.select(*[F.col(c).cast(kind).alias(c) for c, kind in columns.items()])
+    if cells == "fail":
+        return df.select(*[F.col(c).cast(kind).alias(c) for c, kind in columns.items()])
+    texts = {f.name for f in df.schema.fields if f.dataType.simpleString() == "string"}
+    typed = {c: kind for c, kind in columns.items() if kind != "string" and c in texts}
+    read = [F.trim(c).try_cast(kind).alias(c) if c in typed else F.col(c).cast(kind).alias(c) for c, kind in columns.items()]
+    return df.select(*read, bad_cells(df, name, typed).alias(RESCUED))

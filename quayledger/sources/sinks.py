@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 from graphlib import TopologicalSorter
@@ -89,6 +90,20 @@ def save_table(df: DataFrame, table: str, rules: Mapping[str, Column] | None = N
     return read()
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the time of one write, which for a table of the catalog is no option of the writer."""
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, was)
+
+
 def months_of(period: tuple[date, date]) -> list[str]:
     """The months of a period as ``yyyy-MM``; the period must hold them whole."""
     first, last = period
@@ -116,7 +131,8 @@ def save_period(df: DataFrame, table: str, period: tuple[date, date], date_col:
     columns = spark.table(table).columns
     if set(columns) != set(rows.columns):
         raise ValueError(f"{table}: columns {sorted(set(columns) ^ set(rows.columns))} differ")
-    counted.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        counted.select(*columns).write.mode("overwrite").insertInto(table)
     for month in months:  # what the write had no rows for is still the old month's
         if not count(month):
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({MONTH} = '{month}')")
@@ -145,6 +161,7 @@ def save_group(
     (every builder, if not given) with their metrics.
     """
     wanted, needs, rules = list(wanted or builders), needs or {}, rules or {}
+    TopologicalSorter(needs).prepare()  # a circle of needs is an error before anything is made
     chosen: dict[str, None] = {}
 
     def choose(name: str) -> None:
