@@ -13,7 +13,7 @@ from quayledger.functions.numbers import kilos_to_tonnes, outgoing_count, to_cou
 from quayledger.functions.rates import as_report, multiplier
 from quayledger.functions.timeband import label_by_clock, label_by_cutoff, valid_span
 from quayledger.operators import quality
-from quayledger.operators.allocate import share, with_group_totals
+from quayledger.operators.allocate import share, shared_out, with_group_totals
 from quayledger.operators.asof import asof_join, dated_steps, lookup_step
 from quayledger.operators.calendar import date_spine, holidays_of, month_range, two_month_range, week_table, with_day_name
 from quayledger.operators.ordered import previous_row
@@ -162,6 +162,18 @@ def order_shares(t: DerivedInputs) -> DataFrame:
     )
 
 
+def exact_shares(t: DerivedInputs) -> DataFrame:
+    """Each order's total shared over its lines by price, to the cent."""
+    lines = t.given("lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_extendedprice").cast("decimal(18,2)").alias("price")
+    )
+    orders = t.given("orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_totalprice").cast("decimal(18,2)").alias("total")
+    )
+    order = ["l_linenumber", "l_partkey", "price"]
+    return shared_out(lines.join(orders, "l_orderkey"), ["l_orderkey"], order, "price", "total", name="share")
+
+
 def fallback_rates(t: DerivedInputs) -> DataFrame:
     lines = t.given("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_quantity")
     levels, least = [["l_partkey", "l_suppkey"], ["l_partkey", "l_returnflag"], ["l_suppkey"]], F.array(F.lit(3), F.lit(12), F.lit(1))
@@ -377,6 +389,7 @@ DERIVED_QUERIES: dict[str, Query] = {
     "last_click": last_click,
     "previous_gap": previous_gap,
     "order_shares": order_shares,
+    "exact_shares": exact_shares,
     "fallback_rates": fallback_rates,
     "gate_in_history": gate_in_history,
     "container_checks": container_checks,

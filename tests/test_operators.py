@@ -56,6 +56,32 @@ def test_allocation_keeps_the_total(spark):
     assert zero.select(allocate.share(F.col("w"), F.col("t"), F.lit(5))).collect()[0][0] == 0.0
 
 
+@pytest.mark.parametrize("part_rows", [3, 40, 10**6])
+def test_shares_sum_to_the_total(spark, part_rows):
+    rng = random.Random(2)
+    totals = {"hot": "1000.01", "a": "-7.77", "b": "0.05", "zero": "9.00", None: "3.33"}
+    rows = [(i, k, None if k == "zero" or rng.random() < 0.1 else rng.choice([0, 1, 7, 250, -3])) for i in range(400) for k in [rng.choice(["hot", "hot", "hot", "a", "b", "zero", None])]]
+    rows += [(1000 + i, f"one{i}", 5) for i in range(30)]
+    data = [(i, k, Decimal(w) / 10 if w is not None else None, Decimal(totals.get(k, "0.07"))) for i, k, w in rows]
+    df = spark.createDataFrame(data, "id int, k string, w decimal(9,1), total decimal(12,2)").repartition(6)
+    out = allocate.shared_out(df, ["k"], ["id"], "w", "total", name="share", part_rows=part_rows).collect()
+    assert len(out) == len(rows)
+    sums, shares = {}, {r.id: r.share for r in out}
+    for i, k, w in rows:
+        sums.setdefault(k, []).append((i, w or 0))
+    for k, mine in sums.items():
+        total, whole = int(Decimal(totals.get(k, "0.07")) * 100), sum(w for _, w in mine)
+        if whole <= 0:
+            assert all(shares[i] == 0 for i, _ in mine)
+            continue
+        assert sum(shares[i] for i, _ in mine) == Decimal(total) / 100
+        half_up = lambda c: (1 if total * c >= 0 else -1) * ((2 * abs(total * c) + whole) // (2 * whole))  # noqa: B023, E731
+        so_far = 0
+        for i, w in sorted(mine):
+            assert shares[i] * 100 == half_up(so_far + w) - half_up(so_far)
+            so_far += w
+
+
 def test_fallback_lookup_takes_the_finest_level(spark):
     rng = random.Random(6)
     pick = lambda names: rng.choice([*names, None])
