@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quayledger.llm.shared import Workspace, slices, texts_of
-from quayledger.llm.tokens import words_of
+from quayledger.llm.tokens import RUN_BYTES, words_of
 
 #: File: MAGIC, then the numbers of documents, tokens and levels as int64, the documents' ids (int64, the smallest for null)
 #: and first tokens (int64, one more at the end), then for each level its number of chunks (int64), the chunks (one byte each),
@@ -119,10 +119,10 @@ def write_files(docs: DataFrame, folder: str, end_id: int = 2, path: str | None
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "number": pa.array([number], pa.int64()), "tokens": pa.array([held], pa.int64())})
 
         store.create_dir(root, recursive=True)
-        for some, texts in slices(batches):
-            for doc, text in zip(some, texts):
+        for some, texts in slices(batches, RUN_BYTES):
+            for doc, data in zip(some, words.encode_all(texts)):
                 doc_ids.append(doc)
-                ids.append(np.frombuffer(words.encode(text.decode()) + end, "<u4"))
+                ids.append(np.frombuffer(data + end, "<u4"))
                 held += len(ids[-1])
                 if held >= file_tokens:
                     yield flush()

@@ -13,7 +13,7 @@ from quayledger.llm.shared import Workspace
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return packing.pack(docs, Workspace(spark)).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return packing.pack(docs, Workspace(spark), with_ids=False).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op2_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quayledger.llm import binary, packing
+from quayledger.llm import binary, packing, tokens
 from quayledger.llm.tokens import vocabulary_path, words_of
 from tests.llm.conftest import SF, odd_rows
 
@@ -19,7 +19,6 @@ def whole():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(vocabulary_path())
-    t.encode_special_tokens = True
     return lambda text, end: np.array(t.encode(text or "", add_special_tokens=False).ids + [end], "<u4")
 
 
@@ -27,7 +26,45 @@ def whole():
 @settings(max_examples=300, deadline=None)
 def test_words_give_the_ids_of_the_whole_text(text):
     words = words_of(None)
-    assert words.encode(text) == np.array(words.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert words.encode(text) == untouched(text)
+
+
+def untouched(text):
+    """The library's own ids, by a tokenizer that nothing else has touched."""
+    from tokenizers import Tokenizer
+
+    global _own
+    _own = _own or Tokenizer.from_file(vocabulary_path())
+    return np.array(_own.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+_own = None
+
+
+def test_added_tokens_are_the_librarys():
+    words = words_of(None)
+    assert np.frombuffer(words.encode("a<|endoftext|>b"), "<u4").tolist() == [64, 50256, 65]
+    texts = ["a<|endoftext|>b", "plain one", " <|endoftext|> ", "<|endoftext", "|>", "", "one  two", "x <|endoftext|> y\nz"]
+    assert words.encode_all([t.encode() for t in texts]) == [untouched(t) for t in texts]
+
+
+@given(st.lists(st.text(alphabet=st.sampled_from([*" \n aB.,é÷×1ßж日"]), max_size=60), max_size=9), st.integers(1, 40), st.integers(0, 400))
+@settings(max_examples=200, deadline=None)
+def test_runs_and_a_small_cache_give_the_same_ids(texts, run, cache):
+    was = tokens.RUN_BYTES, tokens.CACHE_BYTES
+    tokens.RUN_BYTES, tokens.CACHE_BYTES = run, cache
+    try:
+        assert words_of(None).encode_all([t.encode() for t in texts]) == [untouched(t) for t in texts]
+    finally:
+        tokens.RUN_BYTES, tokens.CACHE_BYTES = was
+
+
+def test_words_of_any_length_and_a_full_cache():
+    words = words_of(None)
+    text = " ".join(["x" * n for n in (1, 63, 64, 65, 1000)] * 2 + [f"word{k}" for k in range(3000)])
+    for _ in range(3):
+        assert words.encode(text) == untouched(text)
+    assert len(words.keys) > 3000 and (np.diff(words.keys.astype(float)) >= 0).all()
 
 
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 300), max_size=30))
@@ -121,3 +158,17 @@ def test_token_files_of_odd_rows(odd, none, ws, whole):
         start += len(ids)
     assert sorted((r["start"], r["doc_id"], r["n_tokens"], bytes(r["ids"])) for r in binary.token_files(odd, ws).collect()) == expected
     assert binary.token_files(none, ws).collect() == []
+
+
+@given(st.dictionaries(st.integers(1, 2048), st.integers(1, 60), max_size=60))
+@settings(max_examples=40, deadline=None)
+def test_no_more_sequences_than_best_fit_decreasing(counts):
+    rooms, made = [], 0
+    for n in sorted((n for n, c in counts.items() for _ in range(c)), reverse=True):
+        fit = min((r for r in rooms if r >= n), default=None)
+        if fit is None:
+            made += 1
+            rooms.append(2048 - n)
+        else:
+            rooms[rooms.index(fit)] -= n
+    assert packing.best_plan(counts)[1] <= made
