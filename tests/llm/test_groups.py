@@ -107,13 +107,39 @@ def near(rows, cosine=0.95):
         ok = i is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
         unit.append(np.array(v, float) / np.linalg.norm(np.array(v, float)) if ok else None)
     for a in range(len(rows)):
-        sets.find(rows[a][0])
+        sets.find(a)
         for b in range(a):
             if unit[a] is not None and unit[b] is not None and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= cosine:
                 links[a] += 1
                 links[b] += 1
-                sets.join(rows[a][0], rows[b][0])
-    return sorted(((i if i is not None else -1), links[k], sets.find(i) if i is not None else -1) for k, (i, _) in enumerate(rows))
+                sets.join(a, b)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            least[sets.find(k)] = min(i, least.get(sets.find(k), i))
+    return sorted(((i if i is not None else -1), links[k], least[sets.find(k)] if i is not None else -1) for k, (i, _) in enumerate(rows))
+
+
+def test_rows_of_one_id_are_told_apart(spark, ws):
+    v, w = np.eye(8)[0], np.eye(8)[1]
+    rows = [(1, v), (1, w), (2, v + 0.1), (4, w + 0.1), (5, w - 0.1), (1, v), (9, -v), (9, -v), (7, w + 0.1), (6, -v)]
+    rows = [(i, x.tolist()) for i, x in rows]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = vectors.near_vectors(df, ws, recall=0.99999).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == near(rows)
+
+
+def test_vectors_at_the_recall_in_use(spark, ws):
+    rng = np.random.default_rng(4)
+    rows, edge = [], np.tan(np.arccos(0.952))
+    for k in range(700):  # pairs just above the least cosine
+        x, y = rng.standard_normal((2, 32))
+        x /= np.linalg.norm(x)
+        y -= (x @ y) * x
+        rows += [(2 * k, x.tolist()), (2 * k + 1, (x + edge * y / np.linalg.norm(y)).tolist())]
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), ws).collect()}
+    want = {i: n for i, n, _ in near(rows)}
+    assert all(got[i] <= want[i] for i in want) and sum(got.values()) >= 0.99 * sum(want.values())
 
 
 def test_vectors(spark, ws):
