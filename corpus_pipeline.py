@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quayledger.llm import decontaminate, packing, quality, simhash, suffixes
-from quayledger.llm.shared import Workspace
+from quayledger.llm.shared import Workspace, lean_workers
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the byte network accepts."""
+    lean_workers(spark)  # before the first worker starts, for all stages
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
