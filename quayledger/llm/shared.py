@@ -37,6 +37,12 @@ def lean_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment.setdefault(name, value)
 
 
+def batch_rows(spark: SparkSession, rows: int) -> None:
+    """Rows of an Arrow batch from the next job on. Whole texts go in batches of fewer rows, which the executor and its workers
+    each hold twice; stages on small rows keep Spark's number."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; in local mode, where it is unset, a folder of this session's own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
