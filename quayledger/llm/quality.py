@@ -17,6 +17,8 @@ from quayledger.llm.shared import ship, slices, texts_of
 STEP, TAPS, DEPTH, FILTERS, HALF = 4, 3, 4, 16, 32
 #: Distances at which a repeat of eight bytes counts as an echo.
 ECHO = range(3, 33)
+#: Half chunks that are read at once.
+PIECE = 512
 #: Labelled rows of each class to fit on, the most characters of one, passes over them.
 SAMPLE_ROWS, SAMPLE_CHARS, PASSES = 3000, 65_536, 8
 
@@ -41,14 +43,19 @@ def laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def echoes(data: np.ndarray, halves: int) -> np.ndarray:
-    """Share of each half chunk's bytes at which the last eight bytes repeat those a few bytes before."""
-    words = np.lib.stride_tricks.sliding_window_view(data, 8)[:, ::1].copy().view("<u8")[:, 0]
-    hit = np.zeros(len(words), bool)
-    for gap in ECHO:
-        hit[gap:] |= words[gap:] == words[:-gap]
-    hit &= words != 0
-    width = STEP * HALF
-    return hit[: halves * width].reshape(halves, width).mean(1, dtype=np.float32) if len(hit) >= halves * width else np.pad(hit, (0, halves * width - len(hit))).reshape(halves, width).mean(1, dtype=np.float32)
+    """Share of each half chunk's bytes at which the next eight bytes repeat those a few bytes before."""
+    width, out = STEP * HALF, np.empty(halves, np.float32)
+    for a in range(0, halves, PIECE):
+        n = min(PIECE, halves - a)
+        lead = min(a * width, max(ECHO))
+        piece = data[a * width - lead : (a + n) * width + 7]
+        words = np.lib.stride_tricks.sliding_window_view(piece, 8).copy().view("<u8")[:, 0]
+        hit = np.zeros(len(words), bool)
+        for gap in ECHO:
+            hit[gap:] |= words[gap:] == words[:-gap]
+        hit &= words != 0
+        out[a : a + n] = hit[lead : lead + n * width].reshape(n, width).mean(1, dtype=np.float32)
+    return out
 
 
 def responses(net: Network, data: np.ndarray, halves: int, ends: np.ndarray) -> np.ndarray:
@@ -86,8 +93,8 @@ def scores(net: Network, texts: list[bytes]) -> np.ndarray:
     data, starts = laid_out(texts)
     halves = int(starts[-1])
     tops = []
-    for a in range(0, halves, 512):
-        n = min(512, halves - a)
+    for a in range(0, halves, PIECE):
+        n = min(PIECE, halves - a)
         ends = starts[1:][(starts[1:] > a) & (starts[1:] <= a + n)] - a
         tops.append(responses(net, data[a * STEP * HALF : ((a + n) * HALF + TAPS - 1) * STEP], n, ends).max(1))
     tops = np.concatenate(tops)

@@ -26,10 +26,12 @@ TARGETS = "you your yours u he she him her they them their du dich dir ihr euch
 NEGATIONS = "not no never isn't aren't don't nicht kein keine nie ne pas jamais nunca jamás".split()
 REPORTS = "said says wrote writes called calls claimed quoted sagte schrieb nannte dit écrit appelé dijo escribió llamó".split()
 
-#: Input symbols of the clause transducer.
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
-#: Words over which a negation, a target and a report reach.
+#: Input symbols of the clause transducers.
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = SYMBOLS = range(6)
+#: Words that a negation, a target and a report reach.
 NEAR, AIMED, WITHIN = 3, 6, 12
+#: Marks that the transducers write on a word.
+IS_NEGATED, IS_AIMED, IS_REPORTED = 1, 2, 4
 #: What a matched clause counts as: plain, aimed at someone, negated, reported, threat.
 PLAIN, AIMED_AT, NEGATED, REPORTED, THREATENED = range(5)
 
@@ -46,32 +48,65 @@ class Grammar:
     base: float = 0.0
 
 
+@dataclass(frozen=True)
+class Transducer:
+    """A deterministic one: from each state, by the symbol read, the next state and the marks written. It starts in state 0."""
+
+    steps: tuple[tuple[tuple[int, int], ...], ...]
+
+    def marks(self, symbols: Iterable[int]) -> Iterator[int]:
+        state = 0
+        for symbol in symbols:
+            state, mark = self.steps[state][symbol]
+            yield mark
+
+
+def reaching(opening: int, words: int, mark: int) -> Transducer:
+    """Writes its mark on as many words after each opening symbol; the state is how many it still reaches."""
+    return Transducer(tuple(tuple((words if symbol == opening else max(0, left - 1), mark if left else 0) for symbol in SYMBOLS) for left in range(words + 1)))
+
+
+def composed(first: Transducer, second: Transducer) -> Transducer:
+    """Both at once: pairs of states, as far as they can be reached, and both marks."""
+    pairs, steps = [(0, 0)], []
+    number = {(0, 0): 0}
+    for a, b in pairs:  # grows while it is read
+        row = []
+        for symbol in SYMBOLS:
+            (next_a, mark_a), (next_b, mark_b) = first.steps[a][symbol], second.steps[b][symbol]
+            if (pair := (next_a, next_b)) not in number:
+                number[pair] = len(pairs)
+                pairs.append(pair)
+            row.append((number[pair], mark_a | mark_b))
+        steps.append(tuple(row))
+    return Transducer(tuple(steps))
+
+
+#: Read from the left: negation, report and target before a word. Read from the right: a target after it.
+TARGETED = reaching(TARGET, AIMED, IS_AIMED)
+FORWARD = composed(composed(reaching(NEGATION, NEAR, IS_NEGATED), reaching(REPORT, WITHIN, IS_REPORTED)), TARGETED)
+
+
+def kind_of(symbol: int, marks: int) -> int | None:
+    """What a marked word counts as: an insult always counts, a threat only with a target on either side."""
+    if symbol != INSULT and (symbol != THREAT or not marks & IS_AIMED):
+        return None
+    if marks & (IS_NEGATED | IS_REPORTED):
+        return NEGATED if marks & IS_NEGATED else REPORTED
+    return THREATENED if symbol == THREAT else AIMED_AT if marks & IS_AIMED else PLAIN
+
+
+#: The last transducer has one state: by symbol and marks, the kind that it writes.
+KINDS = tuple(tuple(kind_of(symbol, marks) for marks in range(8)) for symbol in SYMBOLS)
+
+
 def transduce(symbols: list[tuple[int, float]]) -> list[tuple[int, float]]:
-    """The composed transducers over a clause's symbols: (kind, weight) of every match.
-
-    The state is how many words negation, report and target still reach, and whether a threat is open. A target may
-    also follow its insult, so a plain match turns into an aimed one when a target comes within reach."""
-    negated = reported = aimed = threat = open_match = 0
-    out: list[tuple[int, float]] = []
-    for symbol, weight in symbols:
-        negated, reported, aimed, threat, open_match = (max(0, x - 1) for x in (negated, reported, aimed, threat, open_match))
-        if symbol == NEGATION:
-            negated = NEAR
-        elif symbol == REPORT:
-            reported = WITHIN
-        elif symbol == TARGET:
-            aimed = AIMED
-            if threat:
-                out.append((REPORTED if reported else NEGATED if negated else THREATENED, 1.0))
-                threat = 0
-            elif open_match and out[-1][0] == PLAIN:
-                out[-1] = (AIMED_AT, out[-1][1])
-        elif symbol == THREAT:
-            threat = AIMED
-        elif symbol == INSULT:
-            kind = NEGATED if negated else REPORTED if reported else AIMED_AT if aimed else PLAIN
-            out.append((kind, weight))
-            open_match = AIMED
+    """(kind, weight) of every match in a clause's symbols, each word marked from the left and from the right; a threat weighs 1."""
+    ahead = list(TARGETED.marks(s for s, _ in reversed(symbols)))
+    out = []
+    for (symbol, weight), left, right in zip(symbols, FORWARD.marks(s for s, _ in symbols), reversed(ahead)):
+        if (kind := KINDS[symbol][left | right]) is not None:
+            out.append((kind, weight if symbol == INSULT else 1.0))
     return out
 
 
@@ -96,17 +131,17 @@ class Matcher:
         return self.fixed.get(word, (OTHER, 0.0))
 
     def features(self, text: str) -> np.ndarray:
-        """Sums by kind of match, the heaviest clause, any match at all, matches by text length."""
+        """Sums by kind of match, the heaviest clause, any match at all, matches by text length. Time grows with the text alone."""
         out, text = np.zeros(8), text.lower()
         done = heaviest = matches = 0
         for end, size in self.find.iter(text) if self.any else ():
             start = end - size + 1
             if start < done or start and text[start - 1].isalnum():
                 continue
-            first = max(map(lambda c: text.rfind(c, 0, start), ".!?;:\n")) + 1
+            first = max(done, max(text.rfind(c, done, start) for c in ".!?;:\n") + 1)
             last = found.start() if (found := CLAUSE.search(text, end)) else len(text)
             done = last
-            matched = transduce([self.symbol(w) for w in WORD.findall(text, first, last)])
+            matched = transduce([self.symbol(w.group()) for w in WORD.finditer(text, first, last)])
             for kind, weight in matched:
                 out[kind] += weight
             matches += len(matched)
