@@ -23,6 +23,8 @@ from quayledger.llm.tokens import RUN_BYTES, words_of
 #: the continuation bitmap (bit k: chunk k goes on in the next level), and the set bits before each BLOCK of it (int64).
 MAGIC, BLOCK = b"TOKDAC01", 512
 NO_ID = -(1 << 63)
+#: First characters of a text by which the rows of one doc_id are dealt; short, since a sample of them goes to the driver.
+DEALT = 64
 
 
 def encode_file(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
@@ -101,7 +103,8 @@ class TokenFile:
 def write_files(docs: DataFrame, folder: str, end_id: int = 2, path: str | None = None, file_tokens: int = 4_000_000) -> DataFrame:
     """Write all documents in ascending doc_id order to files `folder`/<partition>-<number>.tok; a row per file once it runs.
 
-    Documents are dealt by ranges of doc_id, so the files' names give the order. A task holds one file's tokens at a time. A file
+    Documents are dealt by ranges of doc_id and the text's first DEALT characters, so the files' names give the order and the
+    rows of one id, or of none, are many tasks' work unless their texts begin alike. A task holds one file's tokens at a time. A file
     is written under another name and then moved, so a task that runs twice leaves one file. Null doc_ids come first, equal
     ones are ordered by their texts."""
 
@@ -130,7 +133,7 @@ def write_files(docs: DataFrame, folder: str, end_id: int = 2, path: str | None
         if doc_ids:
             yield flush()
 
-    ordered = texts_of(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = texts_of(docs).repartitionByRange("doc_id", F.substring("text", 1, DEALT)).sortWithinPartitions("doc_id", "text")
     return ordered.mapInArrow(write, "part long, number long, tokens long")
 
 

@@ -18,8 +18,11 @@ from quayledger.llm.words import MARKS, mixed, words_of
 SIMILARITY = 0.8
 #: Independent random walks, tables of each, sampled places of a table. tests/llm measures the recall at the least similarity.
 WALKS, TABLES, PLACES = 16, 32, 2
-#: Characters of benchmark items that go to the tasks at once; more items go in several passes over the documents.
-BLOCK_CHARS = 8_000_000
+#: Characters and number of benchmark items that go to the tasks at once; more go in several passes over the documents. An item's
+#: keys take 8.7 KB whatever its length.
+BLOCK_CHARS, BLOCK_ITEMS = 8_000_000, 20_000
+#: Numbers of an array that windows, and then pairs of windows and items, are worked on at once.
+MOST_NUMBERS = 1_000_000
 #: Codes of a word that no item has, and of what follows a window's end.
 UNKNOWN, PAST = 0, 1
 
@@ -61,6 +64,16 @@ def distances(items: list[np.ndarray], texts: list[np.ndarray]) -> tuple[np.ndar
     return best, length
 
 
+def runs_of(widths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """First and end of runs of rows that, all as wide as the widest, hold at most `most` numbers, one row at least; widths ascend."""
+    at = 0
+    while at < len(widths):
+        full = widths[at : at + most] * np.arange(1, len(widths[at : at + most]) + 1) > most
+        end = at + max(1, int(full.argmax()) if full.any() else len(full))
+        yield at, end
+        at = end
+
+
 class Items:
     """Benchmark items ready for the search, grouped by their number of words."""
 
@@ -111,12 +124,16 @@ class Items:
         names = np.flatnonzero(self.sizes)
         if not len(names):
             return []
+        # By size, so that a few very long items don't widen the embedding of the others.
+        names = names[np.argsort(self.sizes[names], kind="stable")]
         flat, sizes = np.concatenate([self.words[k] for k in names]), self.sizes[names]
-        out = []
-        for key in self._keys(flat, np.cumsum(sizes) - sizes, sizes, np.cumsum(sizes)):
-            order = np.argsort(key, kind="stable")
-            out.append((key[order], names[order]))
-        return out
+        ends = np.cumsum(sizes)
+        keys = np.empty((WALKS * TABLES, len(names)), np.uint64)
+        for a, b in runs_of(2 * sizes, MOST_NUMBERS):
+            for t, key in enumerate(self._keys(flat, ends[a:b] - sizes[a:b], sizes[a:b], ends[a:b])):
+                keys[t, a:b] = key
+        orders = (np.argsort(key, kind="stable") for key in keys)
+        return [(key[order], names[order]) for key, order in zip(keys, orders)]
 
     def _starts(self, codes: np.ndarray, first: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where a match may begin, and the words of the items it may match: at a word of an item, with enough of its rarest words ahead."""
@@ -154,16 +171,18 @@ class Items:
         text_of = np.repeat(np.arange(len(texts)), np.diff(first))
         end_of = first[1:][text_of]
         all_starts, all_sizes = self._starts(codes, first, text_of)
-        for at in range(0, len(all_starts), 10_000):
-            starts, sizes = all_starts[at : at + 10_000], all_sizes[at : at + 10_000]
+        by_size = np.argsort(all_sizes, kind="stable")
+        all_starts, all_sizes = all_starts[by_size], all_sizes[by_size]
+        for at, to in runs_of(2 * all_sizes, MOST_NUMBERS):
+            starts, sizes = all_starts[at:to], all_sizes[at:to]
             pairs = set()
             for key, (keys, names) in zip(self._keys(codes, starts, sizes, end_of[starts]), self.tables):
                 a, b = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
                 for k in np.flatnonzero(b > a).tolist():
                     pairs.update((k, int(i)) for i in names[a[k] : b[k]])
             ordered = sorted(pairs)
-            for k in range(0, len(ordered), 2000):
-                own = ordered[k : k + 2000]
+            for k, stop in runs_of(2 * sizes[np.array([w for w, _ in ordered], np.int64)], MOST_NUMBERS // 4):
+                own = ordered[k:stop]
                 begin = [int(starts[w]) for w, _ in own]
                 most = [edits(int(sizes[w]), self.similarity) for w, _ in own]
                 d, size = distances([self.words[i] for _, i in own], [codes[s : min(s + int(sizes[w]) + e, int(end_of[s]))] for s, e, (w, _) in zip(begin, most, own)])
@@ -175,18 +194,18 @@ class Items:
 FOUND = "doc_id long, item_id long, start int, words int, edits int"
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_chars: int = BLOCK_CHARS, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """doc_id, item_id, start, words and edits: the best window of every document that holds a benchmark item (item_id, text).
 
     Words are runs of letters and digits, A-Z lower-cased. A window counts with at most (1 - similarity) edits per item word.
-    The items go to the tasks in blocks of a checked size, with a pass over the documents for each, so documents are never
+    The items go to the tasks in blocks of checked characters and number, with a pass over the documents for each, so documents are never
     shuffled. Null and empty texts and items match nothing; null ids are left out; repeated rows of a doc_id give its best window
     once; empty tables give no rows."""
     spark = docs.sparkSession
     ship(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-total // block_chars)
+    number, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    blocks = max(-(-chars // block_chars), -(-number // block_items))
     found = spark.createDataFrame([], FOUND)
     for b in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()  # bounded by the block

@@ -172,3 +172,15 @@ def test_no_more_sequences_than_best_fit_decreasing(counts):
         else:
             rooms[rooms.index(fit)] -= n
     assert packing.best_plan(counts)[1] <= made
+
+
+def test_rows_of_one_id_are_many_tasks_work(spark, ws):
+    rows = [(None, f"{k:05d} words of text number {k}") for k in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    # Tasks this small would be put together again.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = binary.write_files(docs, ws.path("tokens")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({r["part"] for r in files}) > 1
