@@ -17,8 +17,8 @@ LEAST, GRAM, WINDOW = 50, 4, 25
 #: Words to the right of a chosen position that are equal in its class, and words carried left of it and right of those.
 RIGHT = LEAST - WINDOW + 1
 AROUND = WINDOW - 1
-#: Rows of one class that are compared at once.
-SEGMENT = 20_000
+#: Rows of one class that are compared at once; more are parted, and their parts' windows joined.
+SEGMENT = 10_000
 
 
 def minimisers(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -145,7 +145,7 @@ def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     another segment: with kept null, the windows that no smaller document of this segment has, key their hash; and, with start
     null, the ends and the smallest doc_id of each segment, compared once more."""
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("words", pa.int32()), ("kept", pa.bool_()), ("first_doc_id", pa.int64()), ("key", pa.int64()), ("right", pa.binary()), ("left", pa.binary()), ("place", pa.int32()), ("which", pa.int64())])
-    for table in _segments(batches):
+    for table, begun, goes_on in _segments(batches):
         n = table.num_rows
         bounds = ranges(table, ["key"])
         first = np.zeros(n, bool)
@@ -176,7 +176,10 @@ def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(docs[i]), pa.array((places[i] - b).astype(np.int32)), pa.array((LEAST + b - a).astype(np.int32)), pa.array(np.full(len(i), kept)), pa.array(least[i, a])] + [empty.cast(t) for t in schema.types[5:-1]] + [pa.array(which[i])], schema=schema)
         # Classes that may go on in the segment before or after, in this task or another.
         ends, open_ = [], np.zeros((n, 1), bool)
-        for a, b in {(int(bounds[0]), int(bounds[1])), (int(bounds[-2]), int(bounds[-1]))}:
+        edges = [(int(bounds[0]), int(bounds[1]))] * begun + [(int(bounds[-2]), int(bounds[-1]))] * goes_on
+        if not edges:
+            continue
+        for a, b in set(edges):
             ends += [a, b - 1, a + int(docs[a:b].argmin())]
             open_[a:b] = True
         i, offset = np.nonzero(open_ & there & (least == docs[:, None]))
@@ -198,10 +201,27 @@ def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([rows["doc_id"].combine_chunks(), nothing.cast(pa.int32()), nothing.cast(pa.int32()), nothing.cast(pa.bool_()), nothing.cast(pa.int64()), *(rows[c].combine_chunks() for c in ("key", "right", "left", "place")), pa.array(which[ends])], schema=schema)
 
 
-def _segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
-    for table in (pa.Table.from_batches([b]) for b in batches if b.num_rows):
-        for at in range(0, table.num_rows, SEGMENT):
-            yield table.slice(at, SEGMENT).combine_chunks()
+def _segments(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Table, bool, bool]]:
+    """Runs of whole classes, and whether the first class may have begun before and the last may go on after.
+
+    A batch's last class is held back for the next batch, so only the first and last of a task, and one of more than SEGMENT
+    rows, are open."""
+    held, begun = None, True
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        keys = table["key"].to_numpy()
+        if cut := int(np.searchsorted(keys, keys[-1], "left")):
+            yield table.slice(0, cut).combine_chunks(), begun, False
+            begun = False
+        held = table.slice(cut)
+        while held.num_rows > SEGMENT:
+            yield held.slice(0, SEGMENT).combine_chunks(), begun, True
+            held, begun = held.slice(SEGMENT), True
+    if held is not None and held.num_rows:
+        yield held.combine_chunks(), begun, True
 
 
 def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,8 +279,8 @@ def _spans(docs: DataFrame, ws: Workspace) -> DataFrame:
     shared = ws.save(found.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select(F.col("key").alias("of")), "shared")
     places = found.join(shared, F.col("key") == F.col("of"), "left_semi").groupBy("doc_id", "which").agg(F.collect_list(F.struct("place", "key")).alias("at"))
     places = ws.save(places.select(F.col("doc_id").alias("of"), F.col("which").alias("of_which"), F.col("at.place").alias("places"), F.col("at.key").alias("keys")), "places")
-    places = sent_if_small(places, places.agg(F.coalesce(F.sum(F.size("places")), F.lit(0))).first()[0])
-    around = texts.join(places, (F.col("doc_id") == F.col("of")) & (F.col("which") == F.col("of_which"))).select("doc_id", "text", "places", "keys", "which")
+    # Places grow with the texts, so both are shuffled at every size.
+    around = texts.join(places.hint("merge"), (F.col("doc_id") == F.col("of")) & (F.col("which") == F.col("of_which"))).select("doc_id", "text", "places", "keys", "which")
     suffixes = ws.save(around.mapInArrow(_contexts, "key long, right binary, left binary, doc_id long, place int, which long"), "suffixes")
     ws.drop(found, shared)
     order = ["key", "right", "left", "doc_id", "place", "which"]

@@ -309,3 +309,36 @@ def test_recall_at_exactly_a_share_of_edits(share):
     found = {(t, i) for t, i, *_ in index.matches(texts)}
     hits = sum((k, k) in found for k in range(len(items)))
     assert hits >= {0.1: 0.97, 0.2: 0.9}[share] * len(items)
+
+
+def test_only_the_outer_classes_of_a_task_are_open():
+    kinds = suffixes.pa.schema([("key", suffixes.pa.int64()), ("right", suffixes.pa.binary()), ("left", suffixes.pa.binary()), ("doc_id", suffixes.pa.int64()), ("place", suffixes.pa.int32())])
+    around = b"\1" * 4 * suffixes.AROUND
+    rows = [{"key": k // 4, "right": around, "left": around, "doc_id": k % 4, "place": 30} for k in range(40)]
+    found = [r for b in suffixes.compared(iter(suffixes.pa.Table.from_pylist(rows, kinds).to_batches(max_chunksize=3))) for r in b.to_pylist()]
+    assert {r["key"] for r in found if r["place"] is not None} == {0, 9}
+    assert sorted((r["doc_id"], r["first_doc_id"]) for r in found if r["kept"] is False) == sorted([(d, 0) for d in (1, 2, 3)] * 10) or {r["doc_id"] for r in found if r["kept"] is False} == {1, 2, 3}
+    # Each of the two open classes sends its smallest document's windows alone.
+    assert {r["doc_id"] for r in found if r["kept"] is None and r["start"] is not None} == {0}
+
+
+def test_leaks_of_items_in_blocks_by_number_and_of_a_long_item(spark):
+    rng = random.Random(12)
+    words = lambda n: [f"x{rng.randrange(5000)}" for _ in range(n)]
+    items = [words(20) for _ in range(30)] + [words(400)]
+    edited = list(items[-1])
+    for p in rng.sample(range(400), 40):
+        edited[p] = "other"
+    rows = [(k, " ".join([*words(30), *w, *words(30)])) for k, w in enumerate([*items[:-1], edited])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    whole = {tuple(r) for r in decontaminate.leaks(docs, benchmark).collect()}
+    assert {r[:2] for r in whole} == {(k, k) for k in range(31)}
+    assert {tuple(r) for r in decontaminate.leaks(docs, benchmark, block_items=7).collect()} == whole
+
+
+@pytest.mark.parametrize(("widths", "most"), [([], 5), ([1, 1, 1, 1], 2), ([1, 2, 3, 50, 60], 10), ([100], 10)])
+def test_runs_of_rows_hold_a_bounded_number(widths, most):
+    cut = list(decontaminate.runs_of(decontaminate.np.array(widths, int), most))
+    assert [k for a, b in cut for k in range(a, b)] == list(range(len(widths)))
+    assert all(b - a == 1 or (b - a) * widths[b - 1] <= most for a, b in cut)
