@@ -29,3 +29,17 @@ def test_plan(spark, name):
     # Columns that no query reads are pruned from the scans.
     for scan in re.findall(r"ReadSchema: struct<(.*?)>", plan):
         assert "props" not in scan and "l_tax" not in scan
+
+
+def test_queries_bring_the_settings_they_are_written_for(spark):
+    """A session that was made elsewhere has no limit on generated methods, so the JVM would interpret the widest stages."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(key)
+    try:
+        registered_queries()["net_list"](spark, SF_DIR)
+        assert spark.conf.get(key) == "8000"
+        spark.conf.set(key, "9000")
+        registered_queries()["net_list"](spark, SF_DIR)
+        assert spark.conf.get(key) == "9000"
+    finally:
+        spark.conf.set(key, "8000")
