@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import oracle
 from quayledger.functions import numbers, rates, text
-from quayledger.operators import allocate, quality, reconcile, rollup, views
+from quayledger.operators import allocate, pairs, quality, reconcile, rollup, views
 
 START = date(2025, 1, 1)
 
@@ -239,3 +239,17 @@ def test_views(spark):
     assert views.view(df, order=[F.desc("k")], limit=1).collect()[0].k == "b"
     assert views.columns_like(df, "date") == ["date", "start_date"]
     assert views.latest_date(df).collect()[0][0] == START + timedelta(days=40)
+
+
+def test_pairs_of_a_hot_key_are_dealt_over_tasks(spark):
+    """Equal to a plain left join, also for null keys, keys of one side and equal rows, and no task makes most of the pairs."""
+    rng = random.Random(4)
+    key = lambda: rng.choice(["hot"] * 8 + ["a", "b", "c", None])
+    left = spark.createDataFrame([(key(), rng.choice([1, 1, None]), i // 2) for i in range(400)], "k string, d int, v int")
+    right = spark.createDataFrame([(rng.choice(["hot"] * 8 + ["a", "e", None]), 1, i // 3) for i in range(300)], "k string, d int, w int")
+    out = pairs.left_pairs(left, right, ["k", "d"], pair_rows=500)
+    plain = left.join(right, ["k", "d"], "left")
+    assert out.columns == plain.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+    made = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(made) < sum(made) / 4
