@@ -253,3 +253,13 @@ def test_pairs_of_a_hot_key_are_dealt_over_tasks(spark):
     assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
     made = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert max(made) < sum(made) / 4
+
+
+def test_whole_rows_of_a_fallback_lookup_are_spread(spark):
+    levels = [["k", "m"], ["k"]]
+    df = spark.range(2000).select("id", (F.col("id") % 50).alias("k"), (F.col("id") % 7).alias("m"))
+    table = reconcile.grains(df, levels, {"n": F.count("*")})
+    copies = reconcile._copies(df, levels, table)
+    assert copies.count() == 3 * 2000 and copies.filter("_row is not null").count() == 2000
+    assert copies.groupBy("_level", "_key").count().agg(F.max("count")).first()[0] <= 40
+    assert [r.n for r in reconcile.fallback_lookup(df, levels, table, ["n"]).select("n").distinct().orderBy("n").collect()] == [5, 6]
