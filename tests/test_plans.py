@@ -1,6 +1,7 @@
 """Golden rows of the priced plans at their decision points."""
 
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -223,3 +224,17 @@ def test_inspections_list_earlier_gate_ins(spark):
     gates = table(spark, "gate_in", [(MON, "t", "m", "C"), (date(2025, 1, 1), "u", "m", "C"), (SUN, "w", "m", "C")])
     out = emr.inspections_with_gate_in(log, gates, "CMA CGM", (MON, MON))
     assert sorted((r.container_number, r.gate_type or "") for r in out.collect()) == [("C", "t"), ("C", "u"), ("D", "")]
+
+
+def test_iot_stuffing_deals_its_lines_by_day_and_vessel(spark):
+    """No join deals the lines by their destination alone, which a few places would gather in one task."""
+    summary = table(spark, "unloading_summary", [(MON, "v1", 0, 9, d, "normal hours", "Dry", Decimal(2)) for d in ["A", "B", "IOT", "IOT"]])
+    ops = table(spark, "container_ops", [
+        (vessel, "IOT", MON, 0, box, "Stuffing", "IOT", "Full", Decimal(1), -25, MON, "LML") for vessel, box in [("v1", "A"), ("v2", "A"), ("v1", "B"), ("v1", "A")]
+    ])
+    owned = spark.createDataFrame([("A",), ("A",), ("IOT",)], "container_number string")
+    out = unloading.iot_stuffing(summary, owned, ops, prices(spark, ("Stuffing", "3", MON)))
+    assert [(r.vessel, r.container_number, r.total_price) for r in out.collect()] == [("V1", "A", 6.0)] * 2
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    semi, inner = plan.index("Join LeftSemi"), plan.index("Join Inner")
+    assert inner < semi and "total_tonnage" not in plan[semi:]
