@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quayledger.llm.shared import Workspace, slices, texts_of
+from quayledger.llm.shared import Workspace, slices, text_batches, texts_of
 from quayledger.llm.tokens import RUN_BYTES, words_of
 
 #: Size classes of the large lengths, and the shares of a sequence from which a length may count as large.
@@ -173,8 +173,9 @@ def pack(docs: DataFrame, ws: Workspace, capacity: int = 2048, end_id: int = 0,
     before, with as many salts as the square root of the most frequent length's pieces, so one length may hold all rows.
     Null texts are empty documents of one id, null doc_ids and repeated rows are packed like any, an empty table gives
     no rows."""
-    pieces = token_pieces(docs, capacity, end_id, path)
-    pieces = ws.save(pieces if with_ids else pieces.drop("ids"), "pieces")
+    with text_batches(ws.spark):
+        pieces = token_pieces(docs, capacity, end_id, path)
+        pieces = ws.save(pieces if with_ids else pieces.drop("ids"), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     rows, _ = best_plan(counts, capacity)
     salts = max(1, round(max(counts.values(), default=1) ** 0.5))

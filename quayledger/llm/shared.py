@@ -7,6 +7,7 @@ import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,18 @@ def batch_rows(spark: SparkSession, rows: int) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@contextmanager
+def text_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Jobs run inside send whole texts to lean workers, in Arrow batches of at most `rows` rows; the session's own number comes back after."""
+    lean_workers(spark)
+    before = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    batch_rows(spark, min(before, rows) if before > 0 else rows)
+    try:
+        yield
+    finally:
+        batch_rows(spark, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; in local mode, where it is unset, a folder of this session's own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quayledger.llm import binary, packing, tokens
+from quayledger.llm.shared import WORKER_MEMORY
 from quayledger.llm.tokens import vocabulary_path, words_of
 from tests.llm.conftest import SF, odd_rows
 
@@ -120,6 +121,16 @@ def test_packing(spark, ws, whole):
     check_packed(packing.pack(docs, ws).collect(), [(r["doc_id"], r["text"]) for r in docs.collect()], whole, 2048)
 
 
+def test_packing_sends_texts_in_small_batches_to_lean_workers(spark, ws, odd, monkeypatch):
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, save = spark.conf.get(rows), [], ws.save
+    monkeypatch.setattr(ws, "save", lambda df, name: (seen.append(int(spark.conf.get(rows))), save(df, name))[1])
+    packing.pack(odd, ws)
+    assert seen and max(seen) <= 1000
+    assert spark.conf.get(rows) == before
+    assert set(WORKER_MEMORY) <= set(spark.sparkContext.environment)
+
+
 def test_packing_of_odd_rows(odd, none, ws, whole):
     check_packed(packing.pack(odd, ws, capacity=512).collect(), [r[:2] for r in odd_rows()], whole, 512)
     assert packing.pack(none, ws).collect() == []
