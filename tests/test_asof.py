@@ -134,3 +134,12 @@ def test_parts_of_other_types_and_of_no_rows(spark):
         assert len(sizes) == 10 and max(sizes) <= 60
     none = spark.createDataFrame([], kinds)
     assert none.groupBy(sampled_parts(none, ["a", "b"], 10).alias("p")).count().collect() == []
+
+
+def test_asof_join_leaves_out_columns_that_no_reader_asks_for(spark):
+    left = spark.createDataFrame([(1, "a", 5), (2, None, 5)], "id long, k string, ts long").withColumn("wide", F.repeat(F.lit("unread"), F.col("id").cast("int")))
+    right = spark.createDataFrame([("a", 7, 9)], "k string, ts long, v long")
+    out = asof_join(left, right, "ts", ["k"], ["v"], direction="forward", part_rows=None, spread=["id"])
+    assert {tuple(r) for r in out.collect()} == {(1, "a", 5, "unread", 9), (2, None, 5, "unreadunread", None)}
+    plan = out.select("id", "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert "unread" not in plan

@@ -43,3 +43,18 @@ def test_queries_bring_the_settings_they_are_written_for(spark):
         assert spark.conf.get(key) == "9000"
     finally:
         spark.conf.set(key, "8000")
+
+
+def _optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_net_list_carries_only_what_its_reader_asks_for(spark):
+    """Holidays are worked out for a day label that no reader of the list sees."""
+    plan = _optimized(registered_queries()["net_list_view"](spark, SF_DIR))
+    assert "dayofweek" not in plan.lower()
+
+
+def test_two_months_are_summed_in_one_pass_over_the_net_list(spark):
+    scans = {n: _optimized(registered_queries()[n](spark, SF_DIR)).count("Relation") for n in ("net_list_month", "net_list_view")}
+    assert scans["net_list_month"] == scans["net_list_view"]
