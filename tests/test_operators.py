@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import date, timedelta
 from decimal import Decimal
 
@@ -263,3 +264,68 @@ def test_whole_rows_of_a_fallback_lookup_are_spread(spark):
     assert copies.count() == 3 * 2000 and copies.filter("_row is not null").count() == 2000
     assert copies.groupBy("_level", "_key").count().agg(F.max("count")).first()[0] <= 40
     assert [r.n for r in reconcile.fallback_lookup(df, levels, table, ["n"]).select("n").distinct().orderBy("n").collect()] == [5, 6]
+
+
+def _lookup_case(spark):
+    rng = random.Random(9)
+    rows = [(i // 2, rng.choice(["hot"] * 6 + ["a", "b", None]), rng.choice(["x", "y", None]), rng.choice([1, 2, 3, None])) for i in range(600)]
+    df = spark.createDataFrame(rows, "id int, k string, m string, v int")
+    return rows, df, [["k", "m"], ["m"], ["k"]]
+
+
+def test_a_fallback_lookup_shuffles_whole_rows_and_no_copies(spark):
+    """Copies of a row under its hash, written twice, took 12 times the disk of the rows. What finds its values leaves the chain, in a join that
+    reads the same shuffle as the chain itself."""
+    _, df, levels = _lookup_case(spark)
+    key, limit = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        # A column that the reader drops must not part the two readers of a shuffle.
+        out = reconcile.fallback_lookup(df, levels, reconcile.grains(df, levels, {"n": F.sum("v")}), ["n"]).drop("m")
+        done = out._jdf.queryExecution()
+        assert "Generate" not in done.optimizedPlan().toString()
+        done.toRdd().count()
+        plan = done.executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set(key, limit)
+    # Per level: one shuffle of sums, one of what they come to, one of the rows that are left; both readers of the first two levels share them.
+    shuffles = [line for line in plan.splitlines() if re.search(r"[-+:] Exchange ", line)]
+    assert len(shuffles) == 3 * len(levels)
+    assert plan.count("ReusedExchange") >= 4
+
+
+def test_rows_without_a_key_of_a_fallback_lookup_are_spread(spark):
+    df = spark.range(2000).select("id", F.lit(None).cast("string").alias("k"), F.when(F.col("id") < 0, "m").alias("m"))
+    table = reconcile.grains(df.select(F.lit("a").alias("k"), F.lit("b").alias("m")), [["k", "m"], ["k"]], {"n": F.count("*")})
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = reconcile.fallback_lookup(df, [["k", "m"], ["k"]], table, ["n"])
+        made = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(made) == 2000 and max(made) < 800
+
+
+def test_fallback_lookup_keeps_equal_rows_and_each_value_falls_back_alone(spark):
+    rows, df, levels = _lookup_case(spark)
+    table = reconcile.grains(df, levels, {"s": F.sum("v"), "n": F.count("*")}).withColumn("n", F.when(F.col("n") > 60, F.col("n")))
+    out = reconcile.fallback_lookup(df, levels, table, ["s", "n"]).collect()
+
+    def first(row, take):
+        for keys in levels:
+            own = [row["idkmv".index(c) - 1] for c in keys]
+            if None in own:
+                continue
+            mine = [r for r in rows if [r["idkmv".index(c) - 1] for c in keys] == own]
+            if (value := take(mine)) is not None:
+                return value
+        return None
+
+    total = lambda mine: sum(r[3] for r in mine if r[3] is not None) if any(r[3] is not None for r in mine) else None
+    many = lambda mine: len(mine) if len(mine) > 60 else None
+    want = [(*r, first(r, total), first(r, many)) for r in rows]
+    assert sorted(map(str, map(tuple, out))) == sorted(map(str, want))
