@@ -329,3 +329,27 @@ def test_fallback_lookup_keeps_equal_rows_and_each_value_falls_back_alone(spark)
     many = lambda mine: len(mine) if len(mine) > 60 else None
     want = [(*r, first(r, total), first(r, many)) for r in rows]
     assert sorted(map(str, map(tuple, out))) == sorted(map(str, want))
+
+
+def test_pairs_of_one_left_row_are_dealt_over_tasks(spark):
+    """A left row's pairs with all rows of its key stood in one task's memory; they are made chunk by chunk."""
+    left = spark.createDataFrame([("hot", 1), ("lone", 2), (None, 3), (None, 3)], "k string, v int")
+    right = spark.range(20_000).select(F.when(F.col("id") % 50 == 0, F.lit(None)).when(F.col("id") % 50 == 1, "else").otherwise("hot").alias("k"), F.col("id").alias("w"))
+    out = pairs.left_pairs(left, right, ["k"], pair_rows=1000)
+    plain = left.join(right, ["k"], "left")
+    assert out.columns == plain.columns and out.dtypes == plain.dtypes
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+    made = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(made) < sum(made) / 2
+
+
+def test_pairs_in_small_chunks_and_blocks_equal_a_plain_join(spark):
+    rng = random.Random(11)
+    left = spark.createDataFrame([(rng.choice(["hot", "hot", "a", "b", None]), i // 2) for i in range(120)], "k string, v int")
+    right = spark.createDataFrame([(rng.choice(["hot", "hot", "a", "c", None]), i // 3) for i in range(150)], "k string, w int")
+    plain = sorted(map(str, left.join(right, ["k"], "left").collect()))
+    for pair_rows, chunk_rows in ((10, 7), (100, 1), (1, 1000), (10**9, 10**9)):
+        out = pairs.left_pairs(left, right, ["k"], pair_rows=pair_rows, chunk_rows=chunk_rows)
+        assert sorted(map(str, out.collect())) == plain
+    assert pairs.left_pairs(left.filter("false"), right, ["k"]).count() == 0
+    assert sorted(map(str, pairs.left_pairs(left, right.filter("false"), ["k"]).collect())) == sorted(map(str, left.join(right.filter("false"), ["k"], "left").collect()))
